@@ -72,52 +72,70 @@ def _zero_rule() -> Column:
     return F.when(F.col("_all") == 0, F.coalesce("_nonzero", F.lit(0.0))).otherwise(F.col("_all"))
 
 
-def nearest_rank_large(df: DataFrame, groups: list[str], value: str, name: str,
-                       num: int = 9, den: int = 10, accuracy: int = 2000) -> DataFrame:
-    """Exact nearest-rank quantile per group, for groups of any size.
-
-    A quantile sketch proposes a bracket around the wanted rank; the values
-    below it are only counted, those inside are counted per distinct value and
-    ranked. The result does not rely on the sketch's error bound: the rank is
-    looked for on both sides of the bracket, too.
+def select_ranks(df: DataFrame, groups: list[str], value: str, ranks: list, near: float,
+                 accuracy: int = 2000) -> DataFrame:
+    """Exact k-th smallest values of each group (columns _v0, _v1, ...), for groups of any size.
+
+    ``ranks`` are functions of the group's size. A quantile sketch around
+    ``near`` proposes a bracket; values outside it are only counted, those on a
+    side a rank falls on are counted per distinct value and ranked. The result
+    does not rely on the sketch's error bound: ranks are looked for on both
+    sides of the bracket, too. Groups are few (conditions, tags or positions),
+    so their bracket table has few rows and is broadcast, which keeps the rows
+    themselves from being shuffled by group.
     """
-    vals = df.where(F.col(value).isNotNull()).select(*groups, value)
-    p, eps = num / den, 2.0 / accuracy
-    probs = [max(p - eps, 0.0), min(p + eps, 1.0)]
-
-    def bracketed(rows: DataFrame) -> DataFrame:
-        bounds = rows.groupBy(*groups).agg(
-            F.percentile_approx(value, probs, accuracy).alias("_b"), F.count("*").alias("_tot")
-        )
-        # one row per group; the optimizer broadcasts it when it is small
-        rows = rows.join(bounds, groups).withColumn(
-            "_side",
-            F.when(F.col(value) < F.col("_b")[0], 0).when(F.col(value) <= F.col("_b")[1], 1).otherwise(2),
-        )
-        sides = rows.groupBy(*groups).agg(
-            F.first("_tot").alias("_tot"),
-            F.count_if(F.col("_side") == 0).alias("_n0"),
-            F.count_if(F.col("_side") == 1).alias("_n1"),
-        )
-        k = rank_position(F.col("_tot"), num, den)
-        want = sides.select(
-            *groups,
-            F.when(k <= F.col("_n0"), 0).when(k <= F.col("_n0") + F.col("_n1"), 1).otherwise(2).alias("_side"),
-            F.when(k <= F.col("_n0"), k).when(k <= F.col("_n0") + F.col("_n1"), k - F.col("_n0"))
-            .otherwise(k - F.col("_n0") - F.col("_n1")).alias("_k"),
-        )
-        hist = rows.join(want, [*groups, "_side"]).groupBy(*groups, "_k", value).agg(F.count("*").alias("_n"))
-        upto = Window.partitionBy(*groups).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-        return (
-            hist.withColumn("_cum", F.sum("_n").over(upto))
-            .where((F.col("_cum") >= F.col("_k")) & (F.col("_cum") - F.col("_n") < F.col("_k")))
-            .select(*groups, F.col(value).alias("_v"))
-        )
-
-    first = bracketed(vals)
-    zero_groups = first.where(F.col("_v") == 0).select(*groups)
-    again = bracketed(vals.where(F.col(value) != 0).join(zero_groups, groups, "left_semi"))
-    return first.join(again.withColumnRenamed("_v", "_v2"), groups, "left").select(
+    rows = df.where(F.col(value).isNotNull()).select(*groups, value)
+    eps = 2.0 / accuracy
+    probs = [max(near - eps, 0.0), min(near + eps, 1.0)]
+    bounds = rows.groupBy(*groups).agg(
+        F.percentile_approx(value, probs, accuracy).alias("_b"), F.count("*").alias("_tot")
+    )
+    rows = rows.join(F.broadcast(bounds), groups).withColumn(
+        "_side",
+        F.when(F.col(value) < F.col("_b")[0], 0).when(F.col(value) <= F.col("_b")[1], 1).otherwise(2),
+    )
+    n0, n1 = F.col("_n0"), F.col("_n1")
+    ks = [rank(F.col("_tot")) for rank in ranks]
+    sides = rows.groupBy(*groups).agg(
+        F.max("_tot").alias("_tot"),
+        F.count_if(F.col("_side") == 0).alias("_n0"), F.count_if(F.col("_side") == 1).alias("_n1"),
+    )
+    sides = sides.select(
+        *groups, n0, n1, *[k.alias(f"_k{i}") for i, k in enumerate(ks)],
+        F.array(*[F.when(k <= n0, 0).when(k <= n0 + n1, 1).otherwise(2) for k in ks]).alias("_wanted"),
+    )
+    hist = (
+        rows.join(F.broadcast(sides), groups).where(F.array_contains("_wanted", F.col("_side")))
+        .groupBy(*groups, "_side", value, "_n0", "_n1", *[f"_k{i}" for i in range(len(ks))])
+        .agg(F.count("*").alias("_n"))
+    )
+    upto = Window.partitionBy(*groups, "_side").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    below = F.when(F.col("_side") == 0, 0).when(F.col("_side") == 1, n0).otherwise(n0 + n1)
+    ranked = hist.withColumn("_cum", F.sum("_n").over(upto) + below)
+
+    def at(i: int) -> Column:
+        k = F.col(f"_k{i}")
+        return F.max(F.when((F.col("_cum") >= k) & (F.col("_cum") - F.col("_n") < k), F.col(value)))
+
+    return ranked.groupBy(*groups).agg(*[at(i).alias(f"_v{i}") for i in range(len(ks))])
+
+
+def nearest_rank_large(df: DataFrame, groups: list[str], value: str, name: str,
+                       num: int = 9, den: int = 10) -> DataFrame:
+    """Exact nearest-rank quantile per group, for groups of any size, with the zero rule."""
+    ranks = [lambda n: rank_position(n, num, den)]
+    first = select_ranks(df, groups, value, ranks, num / den)
+    zero_groups = F.broadcast(first.where(F.col("_v0") == 0).select(*groups))
+    rest = df.where(F.col(value) != 0).join(zero_groups, groups, "left_semi")
+    again = select_ranks(rest, groups, value, ranks, num / den).withColumnRenamed("_v0", "_z")
+    return first.join(F.broadcast(again), groups, "left").select(
         *groups,
-        F.when(F.col("_v") == 0, F.coalesce("_v2", F.lit(0.0))).otherwise(F.col("_v")).alias(name),
+        F.when(F.col("_v0") == 0, F.coalesce("_z", F.lit(0.0))).otherwise(F.col("_v0")).alias(name),
     )
+
+
+def median_large(df: DataFrame, groups: list[str], value: str, name: str) -> DataFrame:
+    """Exact median per group, for groups of any size."""
+    ranks = [lambda n: F.floor((n + 1) / 2), lambda n: F.floor((n + 2) / 2)]
+    mid = select_ranks(df, groups, value, ranks, 0.5)
+    return mid.select(*groups, ((F.col("_v0") + F.col("_v1")) / F.lit(2.0)).alias(name))

@@ -4,7 +4,7 @@ import importlib
 
 from .registry import ORACLES, QUERIES
 
-MODULES = ("core",)
+MODULES = ("core", "sets")
 
 
 def _load():

@@ -64,7 +64,7 @@ def part_library(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
     )
     return table(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("design_idx"),
+        (F.col("p_partkey") + 1).alias("design_idx"),
         F.concat_ws("\t", F.col("p_partkey").cast("string"), "p_name", "p_brand").alias("header"),
         F.array_join(base, "").alias("sequence"),
         "p_brand",
@@ -72,7 +72,7 @@ def part_library(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 PARTS = """parts AS (
-  SELECT p_partkey AS design_idx, p_partkey || chr(9) || p_name || chr(9) || p_brand AS header,
+  SELECT p_partkey + 1 AS design_idx, p_partkey || chr(9) || p_name || chr(9) || p_brand AS header,
          array_to_string(list_transform(range(1, 8),
            lambda i: substr('ACGU', CAST((p_partkey // i + p_size) % 4 + 1 AS INT), 1)), '') AS sequence,
          p_brand
@@ -93,7 +93,7 @@ def counts(spark: SparkSession, sf_dir: str, split: bool = False) -> DataFrame:
     ))
     keys = ["design_idx", "pos", "tag", "measure"] + (["split"] if split else [])
     return li.select(
-        F.col("l_partkey").alias("design_idx"), F.col("l_linenumber").alias("pos"),
+        (F.col("l_partkey") + 1).alias("design_idx"), F.col("l_linenumber").alias("pos"),
         F.col("l_returnflag").alias("tag"), (F.col("l_orderkey") % 4).cast("int").alias("split"),
         both.alias("x"),
     ).select("design_idx", "pos", "tag", "split", "x.*").groupBy(*keys).agg(F.sum("n").alias("n"))
@@ -102,11 +102,11 @@ def counts(spark: SparkSession, sf_dir: str, split: bool = False) -> DataFrame:
 _TYPE_LIST = "[" + ", ".join(f"'{t}'" for t in MUT_TYPES) + "]"
 
 COV = """cov AS (
-  SELECT l_partkey AS d, l_linenumber AS p, l_returnflag AS t,
+  SELECT l_partkey + 1 AS d, l_linenumber AS p, l_returnflag AS t,
          CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS c
   FROM lineitem GROUP BY ALL)"""
 RC = f"""rc AS (
-  SELECT l_partkey AS d, l_linenumber AS p, l_returnflag AS t,
+  SELECT l_partkey + 1 AS d, l_linenumber AS p, l_returnflag AS t,
          {_TYPE_LIST}[CAST(l_suppkey % 14 + 1 AS INT)] AS k, count(*) AS n
   FROM lineitem GROUP BY ALL)"""
 COND = """cond AS (
