@@ -40,6 +40,7 @@ SEQUENCE_ALPHABET = "ACGTUN"
 # Adapters of the demultiplexing and trimming stages.
 DEMUX_ADAPTER = "AGATCGGAAGAGCGGTTCAG"
 ULTIMA_ADAPTER = "AGATCGGAAGAGCACA"
+ULTIMA_BARCODE_PREFIX = "CTACACGACGCTCTTCCGATCT"
 LONG_READ_3PRIME_ADAPTER = "AGATCGGAAGAGCGGTTCAGCAGGAATGCCGAGACCGATCTCGTATGCCGTCTTCTGCTTG"
 LONG_READ_5PRIME_ADAPTER = "AATGATACGGCGACCACCGAGATCTACACTCTTTCCCTACACGACGCTCTTCCGATCT"
 

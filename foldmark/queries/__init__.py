@@ -4,7 +4,7 @@ import importlib
 
 from .registry import ORACLES, QUERIES
 
-MODULES = ("core", "sets")
+MODULES = ("core", "sets", "reads")
 
 
 def _load():
