@@ -11,8 +11,8 @@ from .skew import lookup_join
 _STEP = "_step"  # change of coverage at a position
 
 
-def cigar_blocks(cigar: Column, pos: Column) -> Column:
-    """Array of (op, len, ref_start, read_start), starts 1-based, of a CIGAR string."""
+def cigar_blocks(cigar: Column) -> Column:
+    """Array of (op, len, ref_start, read_start) of a CIGAR string, starts 1-based from the alignment's own."""
     sizes = F.transform(F.regexp_extract_all(cigar, F.lit(r"(\d+)([MIDNSHP=X])"), F.lit(1)), lambda x: x.cast("int"))
     ops = F.regexp_extract_all(cigar, F.lit(r"(\d+)([MIDNSHP=X])"), F.lit(2))
     pairs = F.zip_with(ops, sizes, lambda o, n: F.struct(o.alias("op"), n.alias("len")))
@@ -23,32 +23,49 @@ def cigar_blocks(cigar: Column, pos: Column) -> Column:
 
     return F.transform(pairs, lambda b, i: F.struct(
         b["op"].alias("op"), b["len"].alias("len"),
-        (pos + consumed(i, "MDN=X")).alias("ref_start"), (consumed(i, "MIS=X") + 1).alias("read_start"),
+        (consumed(i, "MDN=X") + 1).alias("ref_start"), (consumed(i, "MIS=X") + 1).alias("read_start"),
     ))
 
 
+def reference_span(cigar: Column) -> Column:
+    """Reference positions an alignment extends over."""
+    sizes = F.regexp_extract_all(cigar, F.lit(r"(\d+)[MDN=X]"), F.lit(1))
+    return F.aggregate(sizes, F.lit(0), lambda acc, x: acc + x.cast("int"))
+
+
 def _at(s: Column, i: Column) -> Column:
     return F.substring(s, i, F.lit(1))
 
 
+_CHUNK = 8
+_NONE = "array<struct<first:int,last:int,measure:string>>"
+
+
+def _differing(x: Column, x_start: Column, y: Column, y_start: Column, n: Column) -> Column:
+    """Offsets 0..n-1 at which two stretches differ; equal chunks are passed over whole."""
+    def differ(i: Column, size: Column) -> Column:
+        return F.substring(x, x_start + i, size) != F.substring(y, y_start + i, size)
+
+    chunks = F.filter(F.sequence(F.lit(0), n - 1, F.lit(_CHUNK)), lambda c: differ(c, F.least(F.lit(_CHUNK), n - c)))
+    return F.flatten(F.transform(chunks, lambda c: F.filter(
+        F.sequence(c, F.least(c + (_CHUNK - 1), n - 1)), lambda i: differ(i, F.lit(1))
+    )))
+
+
 def _mismatches(b: Column, seq: Column, ref: Column) -> Column:
-    """Mutations of one aligned block; a block equal to the reference is not walked."""
-    mine = F.substring(seq, b["read_start"], b["len"])
-    theirs = F.substring(ref, b["ref_start"], b["len"])
-    places = F.filter(F.sequence(F.lit(0), b["len"] - 1), lambda i: _at(mine, i + 1) != _at(theirs, i + 1))
-    found = F.transform(places, lambda i: F.struct(
+    """Mutations of one aligned block."""
+    places = _differing(seq, b["read_start"], ref, b["ref_start"], b["len"])
+    return F.transform(places, lambda i: F.struct(
         (b["ref_start"] + i).alias("first"), (b["ref_start"] + i).alias("last"),
-        F.concat(_at(theirs, i + 1), _at(mine, i + 1)).alias("measure"),
+        F.concat(_at(ref, b["ref_start"] + i), _at(seq, b["read_start"] + i)).alias("measure"),
     ))
-    return F.when(mine == theirs, F.slice(found, F.lit(1), F.lit(0))).otherwise(found)
 
 
 def _deletion(b: Column, after: Column, ref: Column) -> Column:
     """A deletion moved as far 3' as the reference allows, at most over the next block."""
-    rest = F.sequence(F.lit(0), F.greatest(F.coalesce(after["len"], F.lit(0)) - 1, F.lit(0)))
-    stop = F.filter(rest, lambda i: _at(ref, b["ref_start"] + i) != _at(ref, b["ref_start"] + b["len"] + i))
-    shift = F.when(F.size(stop) > 0, stop[0]).otherwise(F.coalesce(after["len"], F.lit(0)))
-    first = b["ref_start"] + shift
+    room = F.coalesce(after["len"], F.lit(0))
+    stop = _differing(ref, b["ref_start"], ref, b["ref_start"] + b["len"], F.greatest(room, F.lit(1)))
+    first = b["ref_start"] + F.least(F.coalesce(F.get(stop, F.lit(0)), room), room)
     return F.array(F.struct(first.alias("first"), (first + b["len"] - 1).alias("last"), F.lit("del").alias("measure")))
 
 
@@ -71,13 +88,17 @@ def pileup(alignments: DataFrame, library: DataFrame, collapse: bool = True, min
     keep = ["read_id", "tag", "ref", "pos", "cigar", "seq"] + (["qual"] if min_base_quality else [])
     reads = alignments.where(F.length("seq") >= min_length).select(*keep)
     joined = lookup_join(reads, refs, "ref", spread_by="read_id", how="inner")
+    # Only the stretch of the reference a read lies on is walked.
+    joined = joined.select(
+        "design_idx", "tag", "pos", "seq", *keep[6:],
+        F.substring("_ref", F.col("pos"), reference_span(F.col("cigar"))).alias("_ref"),
+        cigar_blocks(F.col("cigar")).alias("_blocks"),
+    )
     blocks, seq, ref = F.col("_blocks"), F.col("seq"), F.col("_ref")
-    joined = joined.withColumn("_blocks", cigar_blocks(F.col("cigar"), F.col("pos")))
 
     def mutations(b: Column, i: Column) -> Column:
-        aligned = b["op"].isin("M", "=", "X")
-        none = F.slice(_deletion(b, b, ref), F.lit(1), F.lit(0))
-        return F.when(aligned, _mismatches(b, seq, ref)).when(
+        none = F.array().cast(_NONE)
+        return F.when(b["op"].isin("M", "=", "X"), _mismatches(b, seq, ref)).when(
             b["op"] == "D", _deletion(b, F.get(blocks, i + 1), ref)
         ).otherwise(none)
 
@@ -91,7 +112,7 @@ def pileup(alignments: DataFrame, library: DataFrame, collapse: bool = True, min
 
     def row(pos: Column, measure: str | Column, n: int) -> Column:
         m = F.lit(measure) if isinstance(measure, str) else measure
-        return F.struct(pos.alias("pos"), m.alias("measure"), F.lit(n).cast("bigint").alias("n"))
+        return F.struct(pos.alias("at"), m.alias("measure"), F.lit(n).cast("bigint").alias("n"))
 
     rows = [
         F.transform(known, lambda m: row(m["last"], m["measure"], 1)),
@@ -107,19 +128,26 @@ def pileup(alignments: DataFrame, library: DataFrame, collapse: bool = True, min
             lambda i: b["ref_start"] + i,
         )))
         rows += [F.transform(low, lambda p: row(p, _STEP, -1)), F.transform(low, lambda p: row(p + 1, _STEP, 1))]
-    events = joined.select("design_idx", "tag", F.explode(F.concat(*rows)).alias("x")).groupBy(
-        "design_idx", "tag", "x.measure", "x.pos"
-    ).agg(F.sum("x.n").alias("n"))
-    muts = events.where(F.col("measure") != _STEP).select("design_idx", "pos", "tag", "measure", "n")
-    return muts.unionByName(_coverage(events.where(F.col("measure") == _STEP)))
+    events = joined.select("design_idx", "tag", "pos", F.explode(F.concat(*rows)).alias("x")).select(
+        "design_idx", "tag", (F.col("pos") + F.col("x.at") - 1).alias("pos"), "x.measure", "x.n"
+    ).groupBy("design_idx", "tag", "measure", "pos").agg(F.sum("n").alias("n"))
+    return _with_coverage(events)
 
 
-def _coverage(steps: DataFrame) -> DataFrame:
-    """Coverage at every position from its changes: one row per design position at most."""
-    line = Window.partitionBy("design_idx", "tag").orderBy("pos")
+def _with_coverage(events: DataFrame) -> DataFrame:
+    """Turn changes of coverage into coverage at every position; other counts pass through.
+
+    A window covers one design and tag: at most one row per position and measure.
+    """
+    step = F.col("measure") == _STEP
+    line = Window.partitionBy("design_idx", "tag", step).orderBy("pos")
     depth = F.sum("n").over(line.rowsBetween(Window.unboundedPreceding, 0))
-    spans = steps.select("design_idx", "tag", "pos", depth.alias("n"), F.lead("pos").over(line).alias("_next"))
-    return spans.where((F.col("n") > 0) & F.col("_next").isNotNull()).select(
-        "design_idx", F.explode(F.sequence(F.col("pos"), F.col("_next") - 1)).alias("pos"), "tag",
-        F.lit(COVERAGE).alias("measure"), "n",
+    rows = events.withColumns({"_depth": depth, "_next": F.lead("pos").over(line)})
+    places = F.when(step, F.when(
+        (F.col("_depth") > 0) & (F.col("_next") > F.col("pos")), F.sequence(F.col("pos"), F.col("_next") - 1)
+    )).otherwise(F.array("pos"))
+    return rows.select(
+        "design_idx", F.explode(places).alias("pos"), "tag",
+        F.when(step, COVERAGE).otherwise(F.col("measure")).alias("measure"),
+        F.when(step, F.col("_depth")).otherwise(F.col("n")).alias("n"),
     )

@@ -40,27 +40,20 @@ def quality_trimmed_length(qual: Column, phred: int) -> Column:
     return F.length(F.regexp_replace(qual, rf"[!-\x{32 + phred:02x}]+$", ""))
 
 
-def adapter_start(seq: Column, adapter: str, min_overlap: int) -> Column:
-    """0-based start of the adapter, or of its longest prefix of at least min_overlap at the read's end."""
-    inside = F.instr(seq, adapter)
-    ends = [
-        F.when(F.endswith(seq, F.lit(adapter[:k])), F.length(seq) - k)
-        for k in range(len(adapter) - 1, min_overlap - 1, -1)
-    ]
-    return F.coalesce(F.when(inside > 0, inside - 1), *ends, F.length(seq))
+def adapter_pattern(adapter: str, min_overlap: int) -> str:
+    """The adapter and all behind it, or its longest prefix of at least min_overlap at the read's end."""
+    prefixes = [adapter[:k] for k in range(len(adapter) - 1, min_overlap - 1, -1)]
+    return f"{adapter}.*$|(?:{'|'.join(prefixes)})$"
 
 
 def quality_and_adapter_trim(reads: DataFrame, phred: int = 30, adapter: str = DEMUX_ADAPTER,
                              min_overlap: int = 3, min_length: int = 20) -> DataFrame:
     """3' quality trim, then adapter trim; reads left shorter than min_length are dropped."""
-    cut = reads.withColumn("_len", quality_trimmed_length(F.col("qual"), phred))
-    cut = cut.withColumn("seq", F.substring("seq", F.lit(1), F.col("_len")))
-    cut = cut.withColumn("_len", adapter_start(F.col("seq"), adapter, min_overlap))
-    return cut.select(
-        *[c for c in reads.columns if c not in ("seq", "qual")],
-        F.substring("seq", F.lit(1), F.col("_len")).alias("seq"),
-        F.substring("qual", F.lit(1), F.col("_len")).alias("qual"),
-    ).where(F.length("seq") >= min_length)
+    good = F.substring("seq", F.lit(1), quality_trimmed_length(F.col("qual"), phred))
+    trimmed = F.regexp_replace(good, adapter_pattern(adapter, min_overlap), "")
+    return reads.withColumn("seq", trimmed).withColumn("qual", F.substring("qual", F.lit(1), F.length("seq"))).where(
+        F.length("seq") >= min_length
+    )
 
 
 def trim_adapter(reads: DataFrame, three_prime: str | None = None, five_prime: str | None = None) -> DataFrame:
@@ -82,13 +75,14 @@ def clean_long_reads(reads: DataFrame, three_prime: str, five_prime: str) -> Dat
 
     A read is turned when only its reverse complement carries an adapter.
     """
+    found = F.filter(F.array("seq", "_rev"), lambda s: s.rlike(f"{three_prime}|{five_prime}"))
     for _ in range(2):
-        fwd, rev = F.col("seq"), X.reverse_complement(F.col("seq"))
-        out = F.coalesce(
-            X.trim_3prime(fwd, three_prime), X.trim_5prime(fwd, five_prime),
-            X.trim_3prime(rev, three_prime), X.trim_5prime(rev, five_prime),
-        )
-        reads = reads.withColumn("seq", out).where("seq IS NOT NULL")
+        # one strand with an adapter at most is kept, so each pass is two cheap projections
+        picked = reads.withColumn("_rev", X.reverse_complement(F.col("seq"))).withColumn("_s", F.get(found, F.lit(0)))
+        cut = F.when(
+            F.contains("_s", F.lit(three_prime)), F.substring_index("_s", three_prime, 1)
+        ).otherwise(X.trim_5prime(F.col("_s"), five_prime))
+        reads = picked.where("_s IS NOT NULL").withColumn("seq", cut).drop("_rev", "_s")
     return reads
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..fixed_values import COVERAGE, MUT_TYPES
 from ..options import conditions_for
+from ..session import spread_small
 
 DIGITS = 9
 
@@ -39,7 +40,7 @@ def text_sequence(text: str | Column) -> Column:
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as a design library; the sequence is the whole text's nucleotide letters."""
-    d = table(spark, sf_dir, "documents")
+    d = spread_small(table(spark, sf_dir, "documents"), "doc_id")
     return d.select(
         (F.col("doc_id") + 1).alias("design_idx"),
         F.concat_ws("\t", F.col("doc_id").cast("string"), "source", "lang").alias("header"),

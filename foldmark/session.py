@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int = 8, app: str = "foldmark", shuffle_partitions: int | None = None) -> SparkSession:
@@ -48,3 +48,13 @@ def shared_folder(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, stem: str) -> str:
     """A new, unused path inside the shared folder."""
     return f"{shared_folder(spark)}/{stem}-{uuid.uuid4().hex}"
+
+
+def spread_small(df: DataFrame, key: str) -> DataFrame:
+    """Use all cores on input that arrives in fewer splits than there are cores.
+
+    Only planning is needed to count the splits. Large inputs have many and
+    are returned as they are, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
