@@ -4,7 +4,7 @@ import importlib
 
 from .registry import ORACLES, QUERIES
 
-MODULES = ("core", "sets", "reads")
+MODULES = ("core", "sets", "reads", "outputs")
 
 
 def _load():

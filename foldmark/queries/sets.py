@@ -164,8 +164,11 @@ def stats_by_tag(spark, sf):
 def _analysis(spark, sf, conditions=V.CONDITIONS, counts=None, library=None):
     counts = V.counts(spark, sf) if counts is None else counts
     library = V.part_library(spark, sf) if library is None else library
-    a = replace(A.analyse(counts, library, conditions, blank5=1, blank3=1), tags=["A", "N", "R"])
-    return settle(a)
+    return replace(A.analyse(counts, library, conditions, blank5=1, blank3=1), tags=["A", "N", "R"])
+
+
+def _settled(*args):
+    return settle(_analysis(*args), ("reactivity", "norm_val"))
 
 
 _SN = V.SN.format(rows="(SELECT * FROM full_r WHERE p > 1 AND p <= 6)")
@@ -194,7 +197,7 @@ SELECT cond_idx, reads, round(mean_reads, 9) AS mean_reads, median_reads, round(
   round(mean_sn, 9) AS mean_sn, round(frac_sn1, 9) AS frac_sn1
 FROM q LEFT JOIN nv USING (cond_idx) LEFT JOIN lev USING (cond_idx) LEFT JOIN med USING (cond_idx)""")
 def stats_by_condition(spark, sf):
-    a = _analysis(spark, sf)
+    a = settle(_settled(spark, sf), ("signal_to_noise",))
     out = Q.condition_stats(_dense_reads(a), a.reactivity, a.signal_to_noise, a.norm_val)
     return V.rounded(out, "mean_reads", "mean_to_median", "norm_val", "mean_react", "median_norm", "mean_sn", "frac_sn1")
 
@@ -274,7 +277,7 @@ def concat_designs(spark, sf):
             return df.where(F.col("design_idx") > half).withColumn("design_idx", F.col("design_idx") - half)
         return df.where(F.col("design_idx") <= half)
 
-    sets = [(_analysis(spark, sf, counts=part(counts, s), library=part(lib, s)), half) for s in (False, True)]
+    sets = [(_settled(spark, sf, V.CONDITIONS, part(counts, s), part(lib, s)), half) for s in (False, True)]
     out = G.concat_designs(sets).reactivity.drop("seq_len")
     return V.rounded(out, "r", "r_err", "r_nomod")
 
@@ -288,7 +291,7 @@ def combine_conditions(spark, sf):
     sets = []
     for pair in (("A", "N"), ("R",)):
         own = counts.where(F.col("tag").isin(list(pair)))
-        sets.append(replace(_analysis(spark, sf, conditions_for([pair]), own), tags=list(pair)))
+        sets.append(replace(_settled(spark, sf, conditions_for([pair]), own), tags=list(pair)))
     out = G.combine_conditions(*sets).reactivity.drop("seq_len")
     return V.rounded(out, "r", "r_err", "r_nomod")
 
@@ -304,7 +307,7 @@ wmn AS (SELECT d, p, b, cond_idx, r / norm_val AS r, re / norm_val AS re FROM wm
 
 
 def _merged(spark, sf, renorm=True):
-    return G.merge_conditions(_analysis(spark, sf), [[1, 2]], renorm=renorm)
+    return G.merge_conditions(_settled(spark, sf), [[1, 2]], renorm=renorm)
 
 
 @query("u03_merge_conditions", f"""WITH {_MERGED} SELECT d AS design_idx, CAST(p AS INT) AS pos, b AS base, cond_idx,
@@ -347,7 +350,7 @@ def rate_reaggregate(spark, sf):
 
 @query("a13_renormalize", _NORMED.replace("n > 1000 THEN n // 1000", "n > 150 THEN n // 150"))
 def renormalize(spark, sf):
-    a = _analysis(spark, sf)
+    a = _settled(spark, sf)
     out = G.renormalize(a, G.denormalized(a), max_sequences=150).reactivity.drop("seq_len")
     return V.rounded(out, "r", "r_err", "r_nomod")
 
@@ -360,7 +363,7 @@ _SLICED = _NORMED.replace("FROM covmax GROUP BY ALL)",
 @query("f07_slice_designs", _SLICED)
 def slice_designs(spark, sf):
     chosen = V.table(spark, sf, "part").where("p_size > 25").select((F.col("p_partkey") + 1).alias("design_idx"))
-    out = G.slice_designs(_analysis(spark, sf), chosen).reactivity.drop("seq_len")
+    out = G.slice_designs(_settled(spark, sf), chosen).reactivity.drop("seq_len")
     return V.rounded(out, "r", "r_err", "r_nomod")
 
 

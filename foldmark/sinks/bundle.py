@@ -57,12 +57,15 @@ def read_bundle(spark: SparkSession, path: str, design_range: tuple[int, int] |
     )
 
 
-def settle(a: Analysis) -> Analysis:
-    """Write the analysis to the shared folder and go on from the written tables.
+def settle(a: Analysis, fields: tuple[str, ...] = TABLES) -> Analysis:
+    """Write tables of an analysis to the shared folder and go on from what was written.
 
-    For what reads an analysis several times: summaries, and set algebra.
+    For what reads a table several times: summaries, and set algebra. Fields
+    not named stay lazy plans.
     """
     spark = a.reactivity.sparkSession
     path = fresh_path(spark, "analysis")
-    write_bundle(a, path)
-    return replace(read_bundle(spark, path), tags=a.tags)
+    fields = tuple(n for n in fields if getattr(a, n) is not None)
+    for name in fields:
+        getattr(a, name).write.parquet(f"{path}/{name}")
+    return replace(a, **{n: spark.read.parquet(f"{path}/{n}") for n in fields})
