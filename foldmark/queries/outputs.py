@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..operators import joins as J
 from ..operators.align import align_reads
+from ..operators.index import build_index
 from ..plans import analysis as A
 from ..session import fresh_path
 from ..sinks import bundle as B
@@ -192,8 +193,11 @@ def norm_report(spark, sf):
 def align(spark, sf):
     """Each read is found where it was taken from, or where it fits at least as well."""
     built = F.when(F.col("kind") == "tail", 0).when(F.col("kind") == "one", -3).otherwise(-6)
-    reads = _alignments(spark, sf).select("read_id", F.lit("all").alias("tag"), "seq", built.alias("built"))
+    path = fresh_path(spark, "align")
+    _alignments(spark, sf).select("read_id", F.lit("all").alias("tag"), "seq", built.alias("built")).write.parquet(f"{path}/reads")
     lib = V.documents(spark, sf).select("design_idx", (F.col("design_idx") - 1).cast("string").alias("name"), "sequence")
-    best = align_reads(reads, lib, max_edits=2, k=15)
+    build_index(lib.withColumn("sequence", F.translate("sequence", "U", "T")), 15).write.parquet(f"{path}/index")
+    reads = spark.read.parquet(f"{path}/reads")
+    best = align_reads(reads, lib, max_edits=2, k=15, index=spark.read.parquet(f"{path}/index"))
     return best.join(reads.select("read_id", "built"), "read_id").select(
         "read_id", (F.col("score") >= F.col("built")).alias("found"))
