@@ -50,22 +50,41 @@ def role_table(spark: SparkSession, conditions: list[Condition]) -> DataFrame:
     return spark.createDataFrame(rows, "tag string, cond_idx int, treated boolean")
 
 
-def pair_counts(counts: DataFrame, conditions: list[Condition], sums: dict[str, list[str]]) -> DataFrame:
+def pair_counts(counts: DataFrame, conditions: list[Condition], sums: dict[str, list[str]],
+                grid: DataFrame | None = None) -> DataFrame:
     """Sums of each condition's treated (``_s``) and control (``_n``) counts.
 
     ``sums`` names the measures added up in each output column. Treated and
     control rows meet in one aggregation, so no self join is needed; the role
     table has two rows per condition the caller listed.
+
+    With a ``grid`` of (design_idx, pos, cond_idx) and further columns, the
+    result has exactly its rows and those columns. Grid rows go through the
+    same aggregation, which is cheaper than joining them to its result.
     """
     used = sorted({x for names in sums.values() for x in names})
     roles = role_table(counts.sparkSession, conditions)
-    rows = counts.where(F.col("measure").isin(used)).join(F.broadcast(roles), "tag")
+    rows = counts.where(F.col("measure").isin(used)).join(F.broadcast(roles), "tag").select(
+        *KEYS, "cond_idx", "measure", "treated", "n"
+    )
+    extra = {}
+    if grid is not None:
+        types = dict(grid.dtypes)
+        extra = {c: types[c] for c in grid.columns if c not in (*KEYS, "cond_idx")}
+        # single letters travel as numbers, which hash aggregation can take the maximum of
+        coded = grid.withColumns({c: F.ascii(c) for c, t in extra.items() if t == "string"})
+        rows = rows.unionByName(coded, allowMissingColumns=True)
     m, treated = F.col("measure"), F.col("treated")
-    cols = []
+    cols = [F.max(c).alias(c) for c in extra]
     for name, names in sums.items():
         cols.append(_n(treated & m.isin(names)).alias(f"{name}_s"))
         cols.append(_n(~treated & m.isin(names)).alias(f"{name}_n"))
-    return rows.groupBy(*KEYS, "cond_idx").agg(*cols)
+    out = rows.groupBy(*KEYS, "cond_idx").agg(*cols)
+    if grid is not None:
+        out = out.where(F.col(next(iter(extra))).isNotNull()).withColumns(
+            {c: F.char(c) for c, t in extra.items() if t == "string"}
+        )
+    return out
 
 
 def _has_control(conditions: list[Condition]) -> Column:
@@ -85,20 +104,24 @@ def _variance(n: str, control: Column) -> Column:
 
 
 def subtract_background(counts: DataFrame, conditions: list[Condition],
-                        options: ReactivityOptions = ReactivityOptions()) -> DataFrame:
+                        options: ReactivityOptions = ReactivityOptions(), grid: DataFrame | None = None) -> DataFrame:
     """Strict-mismatch and deletion profiles per condition, with errors.
 
     Columns: strict, strict_err, del, del_err, floor_err (one count in each
     channel), r_nomod, and the separate tracks when asked for. Positions the
     treated experiment does not cover have no row; where only the control is
-    missing the values are.
+    missing the values are. With a ``grid`` (see ``pair_counts``) every one of
+    its positions has a row.
     """
     strict = list(options.mismatches)
     dels = ["del"] if options.counts_deletions else []
     sums = {"strict": strict, "del": dels, "c": [COVERAGE]}
     if options.separate_tracks:
         sums |= {f"t_{t}": list(types) for t, types in TRACKS.items() if t != "del"}
-    pairs = pair_counts(counts, conditions, sums).where(F.col("c_s") > 0)
+    pairs = pair_counts(counts, conditions, sums, grid)
+    if grid is None:
+        pairs = pairs.where(F.col("c_s") > 0)
+    kept = [] if grid is None else [c for c in grid.columns if c not in (*KEYS, "cond_idx")]
     control = _has_control(conditions)
     one_s, one_n = (F.try_divide(F.lit(1.0), F.col(c).cast("double")) for c in ("c_s", "c_n"))
     tracks = [
@@ -107,13 +130,13 @@ def subtract_background(counts: DataFrame, conditions: list[Condition],
     ]
     nomod = ratio(F.col("strict_n") + F.col("del_n"), F.col("c_n"))
     return pairs.select(
-        *KEYS, "cond_idx",
+        *KEYS, "cond_idx", *kept,
         _subtract("strict", control).alias("strict"),
         F.sqrt(_variance("strict", control)).alias("strict_err"),
         _subtract("del", control).alias("del"),
         F.sqrt(_variance("del", control)).alias("del_err"),
         F.sqrt(F.when(control, sq(one_s) + sq(one_n)).otherwise(sq(one_s))).alias("floor_err"),
-        F.when(control, nomod).otherwise(F.lit(0.0)).alias("r_nomod"),
+        F.when(F.col("c_s") > 0, F.when(control, nomod).otherwise(F.lit(0.0))).alias("r_nomod"),
         *tracks,
     )
 

@@ -7,29 +7,24 @@ from pyspark.sql import functions as F
 
 from .reactivity import sq
 
-# Splits a sequence wherever the next letter differs from the last one.
-RUN_BOUNDARY = r"(?<=(.))(?!\1)"
-
-
 def homopolymer_runs(library: DataFrame) -> DataFrame:
     """One row per maximal same-nucleotide run: design_idx, base, run_start, run_end, run_len.
 
-    A seq_len column of the library is kept.
+    Runs are found inside the design's own row, by comparing each letter with
+    the next, so nothing is shuffled. A seq_len column of the library is kept.
     """
     keep = [c for c in ("seq_len",) if c in library.columns]
-    runs = library.where(F.length("sequence") > 0).select(
-        "design_idx", *keep,
-        F.posexplode(
-            F.filter(F.split("sequence", RUN_BOUNDARY), lambda run: F.length(run) > 0)
-        ).alias("_k", "_run"),
-    )
-    upto = Window.partitionBy("design_idx").orderBy("_k").rowsBetween(Window.unboundedPreceding, 0)
-    return runs.withColumn("run_len", F.length("_run")).select(
-        "design_idx",
-        F.substring("_run", 1, 1).alias("base"),
-        (F.sum("run_len").over(upto) - F.col("run_len") + 1).cast("int").alias("run_start"),
-        F.sum("run_len").over(upto).cast("int").alias("run_end"),
-        "run_len", *keep,
+    letters = library.where(F.length("sequence") > 0).select("design_idx", *keep, F.split("sequence", "").alias("_a"))
+    a = F.col("_a")
+    ends = letters.select("design_idx", *keep, "_a", F.filter(
+        F.sequence(F.lit(1), F.size(a)), lambda i: ~F.get(a, i - 1).eqNullSafe(F.get(a, i))
+    ).alias("_ends"))
+    runs = F.transform("_ends", lambda end, k: F.struct(
+        F.get(a, end - 1).alias("base"),
+        (F.coalesce(F.get(F.col("_ends"), k - 1), F.lit(0)) + 1).alias("run_start"), end.alias("run_end"),
+    ))
+    return ends.select("design_idx", *keep, F.explode(runs).alias("x")).select(
+        "design_idx", "x.*", (F.col("x.run_end") - F.col("x.run_start") + 1).alias("run_len"), *keep
     )
 
 
@@ -73,13 +68,15 @@ def spread_deletions(profiles: DataFrame, extra: list[str] = ()) -> DataFrame:
     return rows.withColumns(changed).drop("_w", "_last", "_sw", "_d", "_e")
 
 
-def on_library(profiles: DataFrame, library: DataFrame, n_conditions: list[int]) -> DataFrame:
+def condition_grid(library: DataFrame, cond_idx: list[int]) -> DataFrame:
+    """Every library position for every condition; the condition list is a handful of literals."""
+    return library_positions(library).withColumn("cond_idx", F.explode(F.array(*[F.lit(i) for i in cond_idx])))
+
+
+def on_library(profiles: DataFrame, library: DataFrame, cond_idx: list[int]) -> DataFrame:
     """Lay sparse profiles over every library position and condition.
 
     Positions without coverage become rows with missing values, which a run
-    needs in full. The condition list is a handful of literals.
+    needs in full.
     """
-    grid = library_positions(library).withColumn(
-        "cond_idx", F.explode(F.array(*[F.lit(i) for i in n_conditions]))
-    )
-    return grid.join(profiles, ["design_idx", "pos", "cond_idx"], "left")
+    return condition_grid(library, cond_idx).join(profiles, ["design_idx", "pos", "cond_idx"], "left")

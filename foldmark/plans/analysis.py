@@ -22,8 +22,8 @@ def reactivity(counts: DataFrame, library: DataFrame, conditions: list[Condition
     so restricting ``counts`` and ``library`` to some designs gives exactly
     their part of the result.
     """
-    profiles = R.subtract_background(counts, conditions, options)
-    grid = S.on_library(profiles, with_length(library), [c.cond_idx for c in conditions])
+    places = S.condition_grid(with_length(library), [c.cond_idx for c in conditions])
+    grid = R.subtract_background(counts, conditions, options, places)
     tracks = [t for t in ("to_A", "to_C", "to_G", "to_T", "ins") if options.separate_tracks]
     grid = R.restrict_base(grid, options.only_base, ["strict", "strict_err", "del", "del_err", "r_nomod", *tracks])
     if options.spread_deletions:

@@ -11,6 +11,7 @@ from ..operators.ordinals import nearest_rank_large
 from ..operators.signal import classify_signal, signal_to_noise
 from ..options import ReactivityOptions
 from ..plans import analysis as A
+from ..session import written
 from . import views as V
 from .registry import query
 
@@ -318,7 +319,7 @@ _NV = "innorm AS (SELECT * FROM blanked SEMI JOIN normset USING (d)), " + V.norm
 
 
 def _analysis(spark, sf, **options):
-    return A.analyse(V.counts(spark, sf), V.part_library(spark, sf), V.CONDITIONS,
+    return A.analyse(written(V.counts(spark, sf), "counts"), V.part_library(spark, sf), V.CONDITIONS,
                      ReactivityOptions(**options), blank5=1, blank3=1)
 
 
@@ -348,6 +349,6 @@ _NVB = "innorm AS (SELECT * FROM blanked SEMI JOIN normset USING (d)), " + V.nor
 SELECT d AS design_idx, CAST(p AS INT) AS pos, cond_idx, b AS base, round(r / nullif(norm_val, 0), 9) + 0.0 AS r,
   round(re / nullif(norm_val, 0), 9) AS r_err FROM full_r LEFT JOIN nv USING (cond_idx, b)""")
 def normalized_by_nt(spark, sf):
-    counts, lib = V.counts(spark, sf), A.with_length(V.part_library(spark, sf))
+    counts, lib = written(V.counts(spark, sf), "counts"), A.with_length(V.part_library(spark, sf))
     out = A.normalize_by_nucleotide(counts, lib, V.CONDITIONS, blank5=1, blank3=1)
     return V.rounded(out.select("design_idx", "pos", "cond_idx", "base", "r", "r_err"), "r", "r_err")

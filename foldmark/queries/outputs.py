@@ -10,7 +10,7 @@ from ..operators import joins as J
 from ..operators.align import align_reads
 from ..operators.index import build_index
 from ..plans import analysis as A
-from ..session import fresh_path
+from ..session import fresh_path, written
 from ..sinks import bundle as B
 from ..sinks import tables as T
 from ..sinks import text as W
@@ -185,7 +185,7 @@ def bundle_round_trip(spark, sf):
 
 @query("k11_norm_report", f"WITH {_NORM_SQL}, {_BLANKED}, {_NV} SELECT cond_idx, printf('%.4f', norm_val) AS norm_val FROM nv")
 def norm_report(spark, sf):
-    a = A.analyse(V.counts(spark, sf), V.part_library(spark, sf), V.CONDITIONS, blank5=1, blank3=1)
+    a = A.analyse(written(V.counts(spark, sf), "counts"), V.part_library(spark, sf), V.CONDITIONS, blank5=1, blank3=1)
     return a.norm_val.select("cond_idx", F.format_string("%.4f", "norm_val").alias("norm_val"))
 
 

@@ -14,7 +14,7 @@ from ..operators import reads as D
 from ..operators import validate as K
 from ..operators.index import build_index
 from ..plans import analysis as A
-from ..session import fresh_path
+from ..session import fresh_path, written
 from ..sinks import text as W
 from ..sinks.bundle import read_table, write_bundle
 from ..sources import counts as C
@@ -267,7 +267,7 @@ def scan_sam(spark, sf):
 
 @query("s12_scan_result_table", _NORMED.replace("FROM blanked LEFT JOIN nv", "FROM (SELECT * FROM blanked WHERE d BETWEEN 51 AND 90) blanked LEFT JOIN nv"))
 def scan_result(spark, sf):
-    a = A.analyse(V.counts(spark, sf), V.part_library(spark, sf), V.CONDITIONS, blank5=1, blank3=1)
+    a = A.analyse(written(V.counts(spark, sf), "counts"), V.part_library(spark, sf), V.CONDITIONS, blank5=1, blank3=1)
     path = fresh_path(spark, "result")
     write_bundle(a, path, ("reactivity",))
     out = read_table(spark, path, "reactivity", (51, 90)).drop("seq_len")

@@ -15,6 +15,7 @@ from ..operators import stats as Q
 from ..operators import subdivide as D
 from ..options import conditions_for
 from ..plans import analysis as A
+from ..session import written
 from ..sinks.bundle import settle
 from . import views as V
 from .core import _BLANKED, _NORM_SQL, _NORMED, _NV
@@ -162,7 +163,7 @@ def stats_by_tag(spark, sf):
 
 
 def _analysis(spark, sf, conditions=V.CONDITIONS, counts=None, library=None):
-    counts = V.counts(spark, sf) if counts is None else counts
+    counts = written(V.counts(spark, sf), "counts") if counts is None else counts
     library = V.part_library(spark, sf) if library is None else library
     return replace(A.analyse(counts, library, conditions, blank5=1, blank3=1), tags=["A", "N", "R"])
 
@@ -269,7 +270,7 @@ query("o04_top1_summed_signal", _ARGMAX)(argmax_design)
 
 @query("u01_concat_designs", _NORMED)
 def concat_designs(spark, sf):
-    counts, lib = V.counts(spark, sf), V.part_library(spark, sf)
+    counts, lib = written(V.counts(spark, sf), "counts"), V.part_library(spark, sf)
     half = lib.count() // 2
 
     def part(df, second):
@@ -287,7 +288,7 @@ _COND2 = _NORMED.replace("(2, 'R', 'N'), (3, 'R', NULL)", "(2, 'R', NULL)")
 
 @query("u02_combine_conditions", _COND2)
 def combine_conditions(spark, sf):
-    counts = V.counts(spark, sf)
+    counts = written(V.counts(spark, sf), "counts")
     sets = []
     for pair in (("A", "N"), ("R",)):
         own = counts.where(F.col("tag").isin(list(pair)))
