@@ -265,12 +265,12 @@ def scan_sam(spark, sf):
     return tables.read_sam(spark, path).select("read_id", "flag", "ref", "pos", "mapq", "cigar", "seq", "dup_count")
 
 
-@query("s12_scan_result_table", _NORMED.replace("FROM blanked LEFT JOIN nv", "FROM (SELECT * FROM blanked WHERE d BETWEEN 51 AND 90) blanked LEFT JOIN nv"))
+@query("s12_scan_result_table", _NORMED.replace("FROM blanked LEFT JOIN nv", "FROM (SELECT * FROM blanked WHERE d >= 51) blanked LEFT JOIN nv"))
 def scan_result(spark, sf):
     a = A.analyse(written(V.counts(spark, sf), "counts"), V.part_library(spark, sf), V.CONDITIONS, blank5=1, blank3=1)
     path = fresh_path(spark, "result")
     write_bundle(a, path, ("reactivity",))
-    out = read_table(spark, path, "reactivity", (51, 90)).drop("seq_len")
+    out = read_table(spark, path, "reactivity", (51, 10**12)).drop("seq_len")
     return V.rounded(out, "r", "r_err", "r_nomod")
 
 
