@@ -155,6 +155,18 @@ def condition_label(spark, sf):
     return R.condition_labels(tags, V.CONDITIONS)
 
 
+_INNER = "(SELECT * FROM react WHERE p > 1 AND p <= 6)"
+_TRIMMED = V.SN.format(rows=_INNER).replace(f"SELECT DISTINCT d, cond_idx FROM {_INNER}", "SELECT DISTINCT d, cond_idx FROM react")
+
+
+@query("w04_first_last_trim", f"""WITH {V.COV}, {V.RC}, {V.COND}, {V.TAGS}, {V.SUB}, {V.REACT}, {_TRIMMED}
+SELECT d AS design_idx, cond_idx, round(signal_to_noise, 9) + 0.0 AS signal_to_noise FROM sn""")
+def signal_inside_ends(spark, sf):
+    """Of the points inside the blanked ends, the first and last are left out once more."""
+    out = signal_to_noise(_react(spark, sf).withColumn("seq_len", F.lit(7)), None, 1, 1)
+    return V.rounded(out, "signal_to_noise")
+
+
 # Runs and spread deletions -------------------------------------------------------------------------
 
 @query("w01_homopolymer_runs", f"""WITH {V.LIB},

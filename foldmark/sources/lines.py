@@ -6,6 +6,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
+# Scan tasks up to which the table of input splits is shipped to every task. A
+# task reads at most maxPartitionBytes / openCostInBytes (32 by default) splits.
+SHIP_SPLITS_BELOW = 10_000
+
+
 def logical_file(path: Column) -> Column:
     """A file, or the folder a partitioned write put its part files in."""
     folder = F.regexp_extract(path, r"^(.*)/part-[^/]*$", 1)
@@ -18,7 +23,9 @@ def numbered_lines(spark: SparkSession, paths, line_sep: str | None = None,
 
     Input splits are numbered independently, and only their record counts (one
     row per split) are brought together to find each split's first ordinal; no
-    record is sorted. With ``starts_with``, a file's first record is dropped
+    record is sorted. That table is broadcast behind a check of the number of
+    scan tasks; beyond it the join is left to the optimizer, which splits a
+    skewed file. With ``starts_with``, a file's first record is dropped
     unless it begins so (text in front of the first real record).
     """
     reader = spark.read if line_sep is None else spark.read.option("lineSep", line_sep)
@@ -39,6 +46,9 @@ def numbered_lines(spark: SparkSession, paths, line_sep: str | None = None,
         "file", "_path", "_block", "_first", "_skip",
         F.coalesce(F.sum(F.col("_k") - F.col("_skip")).over(before), F.lit(0)).alias("_offset"),
     )
+    # Joined by key, all lines of an unsplittable file would go to one task.
+    if raw.rdd.getNumPartitions() < SHIP_SPLITS_BELOW:
+        splits = F.broadcast(splits)
     place = F.col("_id") - F.col("_first") - F.col("_skip") + 1
     return (
         raw.join(splits, ["file", "_path", "_block"]).where(place > 0)
