@@ -29,20 +29,23 @@ def local_session(cores: int = 8, app: str = "foldmark", shuffle_partitions: int
     return spark
 
 
+_own_folder: str | None = None
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, for tables a job writes and reads back.
 
     A cluster names it in ``spark.checkpoint.dir``. Only where that is unset
-    (local runs, tests) is a temporary folder made, and remembered.
+    (local runs, tests) is a temporary folder made, and used from then on.
     """
+    global _own_folder
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="foldmark-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    _own_folder = _own_folder or tempfile.mkdtemp(prefix="foldmark-")
+    return _own_folder
 
 
 def fresh_path(spark: SparkSession, stem: str) -> str:
