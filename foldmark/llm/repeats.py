@@ -35,6 +35,8 @@ GRAM, BUCKET_BYTES = 32, 16 << 20
 #: A q-gram with more stretches than this in one slice is dealt out by stretch; in one bucket, by window.
 FREQUENT_HERE, FREQUENT = 4, 256
 SLICE = 4 << 20
+#: Bytes of stretches that are refined together; a q-gram that isn't frequent has far fewer.
+COMPARED_BYTES = 1 << 20
 
 _NO_ID = np.iinfo(np.int64).min
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -311,7 +313,7 @@ def _fetch(length: int, buckets: int):
                     part = by[a:z]
                     rows = own[part]
                     frames.append(pd.DataFrame({
-                        "bucket": [bucket[part[0]]], "kind": np.int32(_PARTLY), "gram": [b""], "doc": [doc[rows].tobytes()],
+                        "bucket": [bucket[part[0]]], "kind": np.int32(_PARTLY), "gram": [gram[rows].tobytes()], "doc": [doc[rows].tobytes()],
                         "start": [start[rows].tobytes()], "more": [more[rows].tobytes()], "body": [b"".join(bodies[i] for i in part.tolist())],
                     }))
             else:
@@ -372,13 +374,27 @@ def _compare(length: int, buckets: int):
         out = []
         partly = frame[frame["kind"] == _PARTLY]
         if len(partly):
-            x = _unpacked(partly, {"doc": "<i8", "start": "<i4", "more": "u1", "body": "u1"})
-            n = x["more"].astype(np.int64) + 1
-            base = np.concatenate([[0], np.cumsum(n + length - 1)])[:-1]
-            pointer = bucket_pointers(x["body"], length)
-            inner = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            same = pointer[np.repeat(base, n) + inner].astype(np.uint64)
-            out.append((np.zeros(len(same), np.uint64), same, np.repeat(x["doc"], n), np.repeat(x["start"].astype(np.int64), n) + inner))
+            x = _unpacked(partly, {"gram": "<u8", "doc": "<i8", "start": "<i4", "more": "u1", "body": "u1"})
+            size = x["more"].astype(np.int64) + length
+            base = np.cumsum(size) - size
+            order = np.argsort(x["gram"], kind="stable")
+            ends = np.cumsum(size[order])
+            new_gram = np.flatnonzero(np.diff(x["gram"][order])) + 1
+            a = 0
+            while a < len(order):  # whole q-grams, some COMPARED_BYTES at a time
+                z = int(np.searchsorted(ends, (ends[a - 1] if a else 0) + COMPARED_BYTES))
+                more = new_gram[new_gram > z]
+                z = int(more[0]) if len(more) else len(order)
+                own, a = order[a:z], z
+                n, starts = size[own], np.cumsum(size[own]) - size[own]
+                body = x["body"][np.repeat(base[own] - starts, n) + np.arange(n.sum())]
+                pointer = bucket_pointers(body, length)
+                n = n - length + 1
+                inner = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                same = pointer[np.repeat(starts, n) + inner].astype(np.uint64)
+                doc, start = np.repeat(x["doc"][own], n), np.repeat(x["start"][own].astype(np.int64), n) + inner
+                several = np.bincount(pointer)[same.view(np.int64)] > 1
+                out.append((np.zeros(int(several.sum()), np.uint64), same[several], doc[several], start[several]))
         hashed = frame[frame["kind"] == _FREQUENT]
         if len(hashed):
             x = _unpacked(hashed, {"gram": "<u8", "body": "<u8", "doc": "<i8", "start": "<i4"})
