@@ -54,8 +54,8 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def packed_documents(docs: DataFrame) -> DataFrame:
-    pieces = written(tokens.tokenized_pieces(docs, public_tokenizers.path(TOKENIZER), CAPACITY, END_ID), "pieces")
-    slim = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    pieces = tokens.tokenized_pieces(docs, public_tokenizers.path(TOKENIZER), CAPACITY, END_ID)
+    slim = written(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"), "pieces")
     return packing.pack(slim, CAPACITY).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 

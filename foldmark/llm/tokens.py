@@ -6,22 +6,26 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from .batches import keyed_texts, raw_texts, text_slices
+from .batches import joined_bytes, keyed_texts, raw_texts, text_slices
 
-#: Ids of so many different runs of text are kept by a worker before it starts anew; longer runs aren't kept.
-KEPT_RUNS, KEPT_BYTES = 400_000, 64
+#: Ids of so many different cores are kept by a worker before it starts anew; longer ones aren't kept.
+KEPT_CORES, KEPT_BYTES = 400_000, 64
+#: Punctuation that is cut from the end of a run where a letter or digit is in front of it: always tokens of its own.
+_TAIL = b".,;:!?|*$%&#-_()[]{}\"/\\<>=+~^@`"
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids binary, part int, nth bigint"
 
 
 class RunEncoder:
-    """Encodes runs of text between white space, each once.
+    """Encodes runs of text between white space, each core of a run once.
 
-    For tokenizers whose tokens never hold or depend on white space, so that a
-    text's ids are its runs' ids, one after another.
+    For tokenizers that lower-case, whose tokens never hold or depend on white
+    space, and that never join letters or digits with punctuation behind them
+    (apostrophes apart): then a text's ids are those of its cores and tails.
     """
 
     def __init__(self, path: str):
@@ -29,32 +33,65 @@ class RunEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
-
-    def _encoded(self, runs: list[bytes]) -> list[bytes]:
-        got = self.tokenizer.encode_batch_fast([r.decode() for r in runs], add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in got]
-
-    def encode(self, texts: list[bytes]) -> list[bytes]:
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)  # tokens that end a word
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+
+    def _batch(self, cores: list[bytes]) -> dict[bytes, bytes]:
+        got = self.tokenizer.encode_batch_fast([c.decode() for c in cores], add_special_tokens=False)
+        return {c: np.array(e.ids, "<u4").tobytes() for c, e in zip(cores, got)}
+
+    def _words(self, cores: list[bytes]) -> dict[bytes, bytes]:
+        """For cores of letters only: encoded as one text, cut where words end."""
+        whole = self.tokenizer.encode_batch_fast([b" ".join(cores).decode()], add_special_tokens=False)[0]
+        ids = np.array(whole.ids, "<u4")
+        cuts = np.flatnonzero(self.ends[ids]) + 1
+        if len(cuts) != len(cores):
+            return self._batch(cores)
+        raw, at = ids.tobytes(), [0, *(4 * cuts).tolist()]
+        return {c: raw[a:z] for c, a, z in zip(cores, at[:-1], at[1:])}
+
+    @staticmethod
+    def _cut(run: bytes) -> tuple[bytes, bytes]:
+        """Core and tail of a run that isn't plain ASCII letters and punctuation."""
+        core = run.rstrip(_TAIL)
+        if b"<|" in run or not core or not (core[-1:].isalnum() or core[-1] >= 128 and core.decode()[-1].lower().isalpha()):
+            core = run  # a special token, or a core that may join its tail
+        tail = run[len(core) :]
+        # Accents that stand alone may join a small letter but not its capital.
+        return (core if b"<|" in core or b"\xcc" in core or b"\xcd" in core else core.lower()), tail
+
+    def _runs(self, runs: list[bytes]) -> list[bytes]:
+        cores = [run.rstrip(_TAIL) for run in runs]
+        tails = [run[len(core) :] for run, core in zip(runs, cores)]
+        cores = [core.lower() for core in cores]
+        for i, core in enumerate(cores):
+            if not core.isalpha():  # of bytes: ASCII letters only
+                cores[i], tails[i] = self._cut(runs[i])
+        wanted = set(cores)
+        wanted.update(tails)
+        if len(self.known) + len(wanted) > KEPT_CORES:
+            self.known = {}
+        fresh = sorted(wanted.difference(self.known))
+        letters = [core.isalpha() or len(core) <= KEPT_BYTES and core.decode().isalpha() for core in fresh]
+        ids, long = self.known, [core for core in fresh if len(core) > KEPT_BYTES]
+        for encode, some in ((self._words, [c for c, x in zip(fresh, letters) if x]), (self._batch, [c for c, x in zip(fresh, letters) if not x])):
+            for a in range(0, len(some), 2_000):
+                ids.update(encode(some[a : a + 2_000]))
+        out = [ids[core] + ids[tail] if tail else ids[core] for core, tail in zip(cores, tails)]
+        for core in long:
+            del ids[core]
+        return out
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        split = [t.split() for t in texts]  # bytes split at ASCII white space only
-        fresh = set().union(*split).difference(self.known)
-        extra: dict[bytes, bytes] = {}
-        if fresh:
-            fresh = sorted(fresh)
-            if len(self.known) + len(fresh) > KEPT_RUNS:
-                self.known = {}
-                fresh = sorted(set().union(*split))
-            short = [r for r in fresh if len(r) <= KEPT_BYTES]
-            long = [r for r in fresh if len(r) > KEPT_BYTES]
-            for a in range(0, len(short), 20_000):
-                self.known.update(zip(short[a : a + 20_000], self._encoded(short[a : a + 20_000])))
-            for a in range(0, len(long), 2_000):
-                extra.update(zip(long[a : a + 2_000], self._encoded(long[a : a + 2_000])))
-        if not extra:
-            get = self.known.__getitem__
-            return [b"".join(map(get, runs)) for runs in split]
-        both = {**self.known, **extra}
-        return [b"".join(map(both.__getitem__, runs)) for runs in split]
+        split = pc.ascii_split_whitespace(texts)
+        coded = split.flatten().dictionary_encode()
+        ids = pa.array(self._runs(raw_texts(coded.dictionary)), pa.large_binary()).take(coded.indices)
+        data, ends = joined_bytes(ids)
+        at = ends[np.asarray(split.offsets) - split.offsets[0].as_py()].tolist()
+        raw = data.tobytes()
+        return [raw[a:z] for a, z in zip(at[:-1], at[1:])]
 
 
 _ENCODERS: dict[str, RunEncoder] = {}
@@ -80,7 +117,7 @@ def tokenized_pieces(docs: DataFrame, tokenizer_path: str, capacity: int, end_id
         last = np.array([end_id], "<u4").tobytes()
         for batch in text_slices(batches):
             ids, rows = [], []
-            for doc, whole in zip(batch.column("doc_id").to_pylist(), encoder.encode(raw_texts(batch.column("text")))):
+            for doc, whole in zip(batch.column("doc_id").to_pylist(), encoder.encode(batch.column("text"))):
                 whole += last
                 n = len(whole) // 4
                 for piece, start in enumerate(range(0, n, capacity)):
