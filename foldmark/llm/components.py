@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from ..session import written
 
+#: Links in a file of a round's table.
+FILE_LINKS = 1_000_000
+
 
 def components(links: DataFrame) -> DataFrame:
     """(node, root) for every node of ``links`` (a, b, both bigint, any direction): the smallest node it reaches.
@@ -30,7 +33,8 @@ def components(links: DataFrame) -> DataFrame:
         small = large.join(low, "a")
         moved = small.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         kept = low.select("a", F.col("m").alias("b"))
-        edges = written(kept.unionByName(moved).distinct(), "links")
+        # Rounds never add links, so the last count says how many files the next table needs.
+        edges = written(kept.unionByName(moved).distinct().coalesce(-(-seen[0] // FILE_LINKS)), "links")
         before, seen = seen, _signature(edges)
         if seen == before:
             break
