@@ -6,18 +6,18 @@ import base64
 from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .batches import keyed_texts, text_slices
+from .batches import joined_bytes, keyed_texts, text_slices
 
 #: Matches up to this many bytes are merged side by side in arrays; longer ones alone.
 SIDE_BY_SIDE = 64
 #: Encoded matches a worker keeps before it starts anew.
-KEPT_MATCHES = 400_000
+KEPT_MATCHES = 250_000
 
 _NONE = np.int64(1) << 62
 
@@ -201,7 +201,7 @@ class Encoder:
 
 
 _ENCODERS: dict[tuple[str, str], Encoder] = {}
-_TOKENS: dict[str, np.ndarray] = {}
+_TOKENS: dict[str, pa.Array] = {}
 
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -217,7 +217,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
         if (ranks_path, pattern) not in _ENCODERS:
             _ENCODERS[ranks_path, pattern] = Encoder(ranks_path, pattern)
         encoder = _ENCODERS[ranks_path, pattern]
-        for batch in text_slices(batches, most=4 << 20):
+        for batch in text_slices(batches, most=2 << 20):
             ids = encoder.encode(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
 
@@ -227,16 +227,21 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
 def decoded(ids: Column, ranks_path: str) -> Column:
     """The bytes that ids (binary, little-endian unsigned 32-bit) stand for; null for null."""
 
-    @F.pandas_udf("binary")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def decode(batch: pa.RecordBatch) -> pa.Array:
+        data, ends = joined_bytes(batch.column("ids"))
+        bytes_, at = joined_bytes(_TOKENS[ranks_path].take(pa.array(data.view("<u4"))))
+        buffers = [None, pa.py_buffer(at[ends // 4].astype(np.int32)), pa.py_buffer(bytes_)]
+        return pa.Array.from_buffers(pa.binary(), batch.num_rows, buffers)
+
+    @F.arrow_udf("binary")
+    def run(arrays: Iterator[pa.Array]) -> Iterator[pa.Array]:
         if ranks_path not in _TOKENS:
-            ranks = read_ranks(ranks_path)
-            table = np.full(max(ranks.values()) + 1, b"", object)
-            for token, rank in ranks.items():
-                table[rank] = token
-            _TOKENS[ranks_path] = table
-        table = _TOKENS[ranks_path]
-        for batch in batches:
-            yield batch.map(lambda x: None if x is None else b"".join(table[np.frombuffer(x, "<u4")].tolist()))
+            tokens = {rank: token for token, rank in read_ranks(ranks_path).items()}
+            _TOKENS[ranks_path] = pa.array([tokens.get(i, b"") for i in range(max(tokens) + 1)], pa.large_binary())
+        for array in arrays:
+            batch = pa.RecordBatch.from_arrays([array.fill_null(b"")], names=["ids"])
+            parts = [decode(part) for part in text_slices([batch], text="ids", most=2 << 20)]
+            whole = pa.concat_arrays(parts) if parts else pa.array([], pa.binary())
+            yield pc.if_else(array.is_valid(), whole, pa.scalar(None, pa.binary())) if array.null_count else whole
 
     return run(ids)
