@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -55,15 +54,10 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     docs = _source(spark, docs, sf_dir)
     marked = docs.withColumn("_null", F.col("text").isNull())
     others = [c for c in marked.columns if c not in ("doc_id", "text")]
-    left = repeats.remove_repeats(marked, 100, carry=others)
+    left = repeats.remove_repeats(marked, 100, carry=others, as_text=True)
     left = left.select("doc_id", "spans", "kept", *[F.col(f"carried_{i}").alias(c) for i, c in enumerate(others)])
 
-    @F.pandas_udf("string")
-    def readable(raw: pd.Series) -> pd.Series:
-        return raw.map(lambda b: None if b is None else bytes(b).decode("utf-8", "ignore"))
-
-    text = F.when(~F.col("_null"), readable("kept"))
-    left = left.withColumn("text", text)
+    left = left.withColumn("text", F.when(~F.col("_null"), F.col("kept")))
     size = F.when(F.size("spans") > 0, F.length("text").cast("bigint")).otherwise(F.col("n_chars"))
     return left.withColumn("n_chars", size).select(*docs.columns)
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Bytes of text that one vectorized step works on.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 
 def keyed_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -24,6 +24,7 @@ def keyed_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 def text_slices(batches: Iterable[pa.RecordBatch], text: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Each batch in slices of at most ``most`` bytes of text; a longer text is a slice of its own."""
     for batch in batches:
+        pa.default_memory_pool().release_unused()
         ends = offsets(batch.column(text))
         start = 0
         while start < batch.num_rows:

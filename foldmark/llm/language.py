@@ -59,7 +59,7 @@ def slots_of(gram: np.ndarray) -> Iterator[np.ndarray]:
 
 def _counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(lang, gram, n), summed within slices, and (lang, null, documents)."""
-    for batch in text_slices(batches, most=4 << 20):
+    for batch in text_slices(batches, most=1 << 20):
         data, ends = joined_bytes(batch.column("text"))
         lang = batch.column("lang").dictionary_encode()
         gram, of = grams(data, ends)
@@ -168,7 +168,7 @@ def predicted(text: Column, filters: Filters, spark: SparkSession) -> Column:
     def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for text in texts:
             batch = pa.RecordBatch.from_arrays([text.fill_null("")], names=["text"])
-            parts = [judge(part) for part in text_slices([batch], most=4 << 20)]
+            parts = [judge(part) for part in text_slices([batch], most=1 << 20)]
             yield pa.concat_arrays(parts) if parts else judge(batch)
 
     # Nondeterministic for the planner only, lest a filter on the result runs it twice.

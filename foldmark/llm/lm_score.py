@@ -17,8 +17,8 @@ from ..session import written
 from .batches import raw_texts, text_slices
 from .lattice import WORD_START, Lattice, vocabulary
 
-#: Bytes of text behind one bucket of words.
-BUCKET_BYTES = 64 << 20
+#: Bytes of text in a block, and behind one bucket of words.
+BLOCK_BYTES, BUCKET_BYTES = 8 << 20, 64 << 20
 #: Rounds of expectation and maximization, and what is added to each piece's expected count.
 ROUNDS, ADDED = 2, 0.1
 
@@ -39,7 +39,7 @@ def _blocks(buckets: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=1)
         block = TaskContext.get().partitionId() << 32
-        for batch in text_slices(batches):
+        for batch in text_slices(batches, most=BLOCK_BYTES):
             docs = batch.column("doc_id")
             held = batch.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
             split = [t.lower().split() for t in raw_texts(batch.column("text"))]

@@ -34,7 +34,7 @@ from .batches import joined_bytes, keyed_texts, text_slices
 GRAM, BUCKET_BYTES = 32, 16 << 20
 #: A q-gram with more stretches than this in one slice is dealt out by stretch; in one bucket, by window.
 FREQUENT_HERE, FREQUENT = 4, 256
-SLICE = 4 << 20
+SLICE = 2 << 20
 #: Bytes of stretches that are refined together; a q-gram that isn't frequent has far fewer.
 COMPARED_BYTES = 1 << 20
 
@@ -420,40 +420,45 @@ def _compare(length: int, buckets: int):
     return run
 
 
-def _remove(texts: pa.Table, removed: pa.Table) -> pa.Table:
-    x = _unpacked(removed.select(list(_PART)).to_pandas(), _PART)
-    order = np.argsort(x["doc"], kind="stable")
-    doc, start, size = (x[c][order].astype(np.int64) for c in _PART)
-    ids, sizes, spans, kept = [], [], [], []
-    for d, data in _documents(texts.select(["doc", "size", "body"]).to_pandas()):
-        a, z = np.searchsorted(doc, d, side="left"), np.searchsorted(doc, d, side="right")
-        cover = np.zeros(len(data) + 1, np.int64)
-        if z > a:
-            np.add.at(cover, np.minimum(start[a:z], len(data)), 1)
-            np.add.at(cover, np.minimum(start[a:z] + size[a:z], len(data)), -1)
-        gone = np.cumsum(cover)[:-1] > 0
-        edge = np.flatnonzero(np.diff(np.concatenate([[False], gone, [False]]).astype(np.int8)))
-        ids.append(None if d == _NO_ID else d)
-        sizes.append(len(data))
-        spans.append([{"start": int(s), "end": int(e)} for s, e in edge.reshape(-1, 2)])
-        kept.append(data[~gone].tobytes())
-    out = pa.table({
-        "doc_id": pa.array(ids, pa.int64()), "n_bytes": pa.array(sizes, pa.int64()),
-        "spans": pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), "kept": pa.array(kept, pa.binary()),
-    })
-    carried = [pa.ipc.open_stream(raw).read_all() for raw in texts.column("carried").to_pylist() if raw is not None]
-    if carried:
-        for name, column in zip(carried[0].column_names, pa.concat_tables(carried).columns):
-            out = out.append_column(name, column)
-    return out
+def _remove(as_text: bool):
+    def run(texts: pa.Table, removed: pa.Table) -> pa.Table:
+        x = _unpacked(removed.select(list(_PART)).to_pandas(), _PART)
+        order = np.argsort(x["doc"], kind="stable")
+        doc, start, size = (x[c][order].astype(np.int64) for c in _PART)
+        ids, sizes, spans, kept = [], [], [], []
+        for d, data in _documents(texts.select(["doc", "size", "body"]).to_pandas()):
+            a, z = np.searchsorted(doc, d, side="left"), np.searchsorted(doc, d, side="right")
+            cover = np.zeros(len(data) + 1, np.int64)
+            if z > a:
+                np.add.at(cover, np.minimum(start[a:z], len(data)), 1)
+                np.add.at(cover, np.minimum(start[a:z] + size[a:z], len(data)), -1)
+            gone = np.cumsum(cover)[:-1] > 0
+            edge = np.flatnonzero(np.diff(np.concatenate([[False], gone, [False]]).astype(np.int8)))
+            ids.append(None if d == _NO_ID else d)
+            sizes.append(len(data))
+            spans.append([{"start": int(s), "end": int(e)} for s, e in edge.reshape(-1, 2)])
+            left = data[~gone].tobytes()
+            kept.append(left.decode("utf-8", "ignore") if as_text else left)
+        out = pa.table({
+            "doc_id": pa.array(ids, pa.int64()), "n_bytes": pa.array(sizes, pa.int64()),
+            "spans": pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), "kept": pa.array(kept, pa.string() if as_text else pa.binary()),
+        })
+        carried = [pa.ipc.open_stream(raw).read_all() for raw in texts.column("carried").to_pylist() if raw is not None]
+        if carried:
+            for name, column in zip(carried[0].column_names, pa.concat_tables(carried).columns):
+                out = out.append_column(name, column)
+        return out
+
+    return run
 
 
 def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col: str = "text",
-                   carry: Sequence[str] = ()) -> DataFrame:
+                   carry: Sequence[str] = (), as_text: bool = False) -> DataFrame:
     """Every document without the bytes that an earlier equal string of ``length`` bytes covers.
 
     Returns doc_id, n_bytes, spans (array of removed runs: start, end) and kept
-    (binary), and then the columns to ``carry``, as carried_0, carried_1, ... Earlier is a smaller doc_id, or a smaller start in the same
+    (binary), and then the columns to ``carry``, as carried_0, carried_1, ... With
+    ``as_text``, kept is a string, and a character of which some bytes go goes whole. Earlier is a smaller doc_id, or a smaller start in the same
     document; matches never cross documents and are judged on the input. Null
     and empty texts have no bytes; shorter texts are kept. A null id comes
     before all others. Rows that share an id are versions of one document: what
@@ -476,10 +481,11 @@ def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
     with_carried = docs.select(*id_and_text, *[docs[c].alias(f"carried_{i}") for i, c in enumerate(carry)])
     texts = keyed.mapInArrow(_texts(buckets), _TEXTS_SCHEMA)
     full_texts = with_carried.mapInArrow(_texts(buckets), _TEXTS_SCHEMA) if carry else texts
-    schema = StructType.fromDDL("doc_id bigint, n_bytes bigint, spans array<struct<start:bigint,end:bigint>>, kept binary")
+    kind = "string" if as_text else "binary"
+    schema = StructType.fromDDL(f"doc_id bigint, n_bytes bigint, spans array<struct<start:bigint,end:bigint>>, kept {kind}")
     schema = StructType([*schema.fields, *with_carried.schema.fields[2:]])
     asked = refined.where(F.col("kind") != _REMOVED)
     fetched = texts.groupBy("bucket").cogroup(asked.groupBy("bucket")).applyInPandas(_fetch(length, buckets), _FETCHED_SCHEMA)
     compared = fetched.groupBy("bucket").applyInPandas(_compare(length, buckets), _REFINED_SCHEMA)
     removed = refined.where(F.col("kind") == _REMOVED).unionByName(compared).select("bucket", "doc", "start", "size")
-    return full_texts.groupBy("bucket").cogroup(removed.groupBy("bucket")).applyInArrow(_remove, schema)
+    return full_texts.groupBy("bucket").cogroup(removed.groupBy("bucket")).applyInArrow(_remove(as_text), schema)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from .batches import joined_bytes, keyed_texts, raw_texts, text_slices
 
 #: Ids of so many different cores are kept by a worker before it starts anew; longer ones aren't kept.
-KEPT_CORES, KEPT_BYTES = 400_000, 64
+KEPT_CORES, KEPT_BYTES = 250_000, 64
 #: Punctuation that is cut from the end of a run where a letter or digit is in front of it: always tokens of its own.
 _TAIL = b".,;:!?|*$%&#-_()[]{}\"/\\<>=+~^@`"
 
