@@ -101,6 +101,6 @@ def annotations(prefix: str, design_id: Column, title: Column, author: Column, h
 
 
 def fixed3(x: Column) -> Column:
-    """Three decimals, as text; missing stays missing (blank in a CSV file)."""
-    return F.when(x.isNotNull(), F.format_string("%.3f", x))
+    """Three decimals, as text, rounded from nine with halves away from zero; missing stays missing (blank in a CSV file)."""
+    return F.round(x.cast("decimal(38,9)"), 3).cast("string")
 

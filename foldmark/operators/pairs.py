@@ -10,22 +10,33 @@ from pyspark.sql import functions as F
 from ..functions.text import reverse_complement
 
 
-def _overlap(a: np.ndarray, b: np.ndarray, least: int, rate: float) -> int:
-    """Longest overlap of a's end with b's start within the mismatch rate, 0 if none."""
-    for n in range(min(len(a), len(b)), least - 1, -1):
-        if np.count_nonzero(a[len(a) - n:] != b[:n]) <= rate * n:
-            return n
-    return 0
+def _overlaps(left: pd.Series, right: pd.Series, least: int, rate: float) -> np.ndarray:
+    """Longest overlap of each left end with its right start within the mismatch rate, 0 if none.
+
+    Pairs of equal lengths are compared together, one overlap length after
+    another, until none is open.
+    """
+    out = np.zeros(len(left), np.int32)
+    sizes = left.str.len().to_numpy() * (1 << 32) + right.str.len().to_numpy()
+    for both in np.unique(sizes):
+        rows = np.flatnonzero(sizes == both)
+        n, m = int(both) >> 32, int(both) & 0xFFFFFFFF
+        a = np.frombuffer("".join(left.iloc[rows]).encode("latin-1"), np.uint8).reshape(len(rows), n)
+        b = np.frombuffer("".join(right.iloc[rows]).encode("latin-1"), np.uint8).reshape(len(rows), m)
+        open_ = np.arange(len(rows))
+        for k in range(min(n, m), least - 1, -1):
+            fits = np.count_nonzero(a[open_, n - k :] != b[open_, :k], axis=1) <= rate * k
+            out[rows[open_[fits]]] = k
+            open_ = open_[~fits]
+            if not len(open_):
+                break
+    return out
 
 
 def _overlap_column(least: int, rate: float):
     @F.pandas_udf("int")
     def overlap(left: pd.Series, right: pd.Series) -> pd.Series:
-        pairs = zip(left, right)
-        return pd.Series([
-            _overlap(np.frombuffer(a.encode(), np.uint8), np.frombuffer(b.encode(), np.uint8), least, rate)
-            for a, b in pairs
-        ], dtype="int32")
+        return pd.Series(_overlaps(left, right, least, rate))
 
     return overlap
 
@@ -58,5 +69,5 @@ def merge_pairs(mates1: DataFrame, mates2: DataFrame, min_overlap: int = 12, mis
         "read_id", merged.alias("merged"), "overlap",
         F.when(merged, body).otherwise(F.col("seq")).alias("seq"),
         F.when(merged, qual).otherwise(F.col("qual")).alias("qual"),
-        F.when(~merged, F.col("seq2")).alias("mate_seq"),
+        F.when(~merged, F.col("seq2")).alias("mate_seq"), F.when(~merged, F.col("qual2")).alias("mate_qual"),
     )

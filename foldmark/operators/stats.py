@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ordinals import median_large
+from .ordinals import dense_ordinal, median_large
 from .signal import classify_signal
 
 UNITS = ("", "k", "M", "B", "T")
@@ -131,21 +131,15 @@ def best_design(sn: DataFrame) -> DataFrame:
     return sums.orderBy(F.desc("total"), "design_idx").limit(1)
 
 
-def first_designs(df: DataFrame, n: int) -> DataFrame:
-    """The first n rows in library order, for a heat map or listing."""
-    return df.orderBy("design_idx").limit(n)
+def numbered_designs(df: DataFrame) -> DataFrame:
+    """All rows with their ordinal in library order, from which a listing takes as many as it shows."""
+    return dense_ordinal(df, "design_idx", "ordinal")
 
 
-def heatmap_designs(quality: DataFrame, cond_idx: int, small: int = 500, large: int = 10000) -> DataFrame:
-    """First ``small`` passing designs of a condition, and the first ``large`` if there are more.
-
-    ``quality`` uses the strict reads test. Column ``figure`` is 'small' or 'large'.
-    """
+def heatmap_designs(quality: DataFrame, cond_idx: int) -> DataFrame:
+    """(design_idx, ordinal) of a condition's passing designs; ``quality`` uses the strict reads test."""
     good = quality.where((F.col("cond_idx") == cond_idx) & F.col("passes")).select("design_idx")
-    many = good.agg((F.count("*") > small).alias("many")).scalar()
-    first = first_designs(good, small).withColumn("figure", F.lit("small"))
-    more = first_designs(good, large).where(many).withColumn("figure", F.lit("large"))
-    return first.unionByName(more)
+    return numbered_designs(good)
 
 
 def quality_labels(quality: DataFrame) -> DataFrame:

@@ -8,26 +8,31 @@ from pyspark.sql import functions as F
 from ..operators.align import align_reads
 from ..operators.pairs import merge_pairs
 from ..operators.pileup import pileup
-from ..operators.reads import demultiplex, quality_and_adapter_trim
+from ..operators.reads import demultiplex, min_mapq, quality_and_adapter_trim
 
 
 def reads_to_counts(mates1: DataFrame, mates2: DataFrame | None, library: DataFrame,
-                    barcodes: list[tuple[str, str]], max_edits: int = 4, trim: bool = True) -> DataFrame:
+                    barcodes: list[tuple[str, str]], max_edits: int = 4, trim: bool = True, min_quality: int = 10) -> DataFrame:
     """Counts of a whole sequencing run.
 
     ``library`` has design_idx, name and sequence; read 1 starts with the
-    barcode and is antisense to the design. Every stage is lazy; a long run
-    should write the alignments and go on from that table.
+    barcode and is antisense to the design. Mates that don't overlap are both
+    carried on; the second has its tag from the first. Alignments below
+    ``min_quality``, as of reads that fit two designs alike, aren't counted.
+    Every stage is lazy; a long run should write the alignments and go on from
+    that table.
     """
+    clean = quality_and_adapter_trim if trim else (lambda reads: reads)
     if mates2 is None:
-        reads = mates1
+        tagged = demultiplex(clean(mates1), barcodes)
     else:
-        reads = merge_pairs(mates1, mates2).where("merged").select("read_id", "seq", "qual")
-    if trim:
-        reads = quality_and_adapter_trim(reads)
-    tagged = demultiplex(reads, barcodes)
+        pairs = merge_pairs(mates1, mates2)
+        tagged = demultiplex(clean(pairs.select("read_id", "seq", "qual")), barcodes)
+        second = clean(pairs.where("not merged").select("read_id", F.col("mate_seq").alias("seq"), F.col("mate_qual").alias("qual")))
+        second = second.join(tagged.select("read_id", "tag"), "read_id").withColumn("read_id", F.concat("read_id", F.lit("/2")))
+        tagged = tagged.unionByName(second)
     aligned = align_reads(tagged, library, max_edits=max_edits, strands=("-",))
-    return pileup(aligned, library)
+    return pileup(min_mapq(aligned, min_quality), library)
 
 
 def counted_alignments(alignments: DataFrame, library: DataFrame, min_quality: int = 10) -> DataFrame:

@@ -105,9 +105,9 @@ def scan_counts_text(spark, sf):
     return C.read_counts_text(spark, f"{_written_counts(spark, sf)}/*/*")
 
 
-@query("s07_scan_counts_dir", f"SELECT * FROM ({_COUNTS_SQL.format(where='')}) WHERE measure = 'coverage' UNION ALL {_MUTS_SQL}")
+@query("s07_scan_counts_dir", f"{_COUNTS_SQL.format(where='')} UNION ALL {_MUTS_SQL}")
 def scan_counts_dir(spark, sf):
-    return C.read_counts_dir(spark, _written_counts(spark, sf), raw_counts=False, partitioned=True)
+    return C.read_counts_dir(spark, _written_counts(spark, sf), partitioned=True)
 
 
 @query("p08_tag_from_file_name", """SELECT DISTINCT l_returnflag AS tag, l_linestatus || '.muts' AS stem,
@@ -292,9 +292,9 @@ def scan_logs(spark, sf):
         kind.isin("signup", "purchase"), "2_align/T/bowtie2.err").otherwise("3_count/count.out")
     line = (
         F.when(kind == "view", F.concat(F.lit("Pairs:               \t"), text))
-        .when(kind == "click", F.concat(F.lit("Joined:              \t"), text, F.lit("   \t80.261%")))
+        .when(kind == "click", F.concat(F.lit("Joined:              \t"), text, F.lit("   \t75.5%")))
         .when(kind == "signup", F.concat(text, F.lit(" reads; of these:")))
-        .when(kind == "purchase", F.concat(F.lit("    "), text, F.lit(" (41.04%) aligned exactly 1 time")))
+        .when(kind == "purchase", F.concat(F.lit("    "), text, F.lit(" (50.00%) aligned exactly 1 time")))
         .otherwise(F.concat(F.lit('  [*] Sample "x": 9 transcripts covered [A: 1; C: 2] - '), text, F.lit("/"), twice,
                             F.lit(" (50.00%) mutated alignments")))
     )
@@ -326,7 +326,7 @@ def check_dup(spark, sf):
     return K.repeated_values(V.documents(spark, sf))
 
 
-_TEMPLATE = "NNANNNNNNNNNNNNNNNNNNNNNNNNNNENNNNNNNNNNNNNNNNNNNNNNNNNNNNNN".replace("E", "N")[:60]
+_TEMPLATE = "NNA" + "N" * 57
 
 
 @query("f09_filter_exact_length_match", f"""WITH {_ALN} SELECT read_id, seq FROM aln
@@ -451,15 +451,13 @@ def join_names(spark, sf):
 
 
 _FIXED = f"""WITH {V.COV}, {V.RC}, {V.COND}, {V.TAGS}, {V.SUB}, {V.REACT} SELECT d AS design_idx, p AS pos, cond_idx,
-  printf('%.3f', round(r, 9) + 0.0) AS r FROM react WHERE r IS NOT NULL AND abs(r * 1000 - floor(r * 1000) - 0.5) > 1e-6"""
+  CAST(round(CAST(round(r, 9) AS DECIMAL(38, 9)), 3) AS VARCHAR) AS r FROM react WHERE r IS NOT NULL"""
 
 
 @query("e18_fixed_format", _FIXED)
 def fixed_format(spark, sf):
     r = R.combine_profiles(R.subtract_background(V.counts(spark, sf), V.CONDITIONS)).where("r IS NOT NULL")
-    x = F.col("r") * 1000
-    clear = F.abs(x - F.floor(x) - 0.5) > 1e-6
-    return V.rounded(r.where(clear), "r").select("design_idx", "pos", "cond_idx", X.fixed3(F.col("r")).alias("r"))
+    return V.rounded(r, "r").select("design_idx", "pos", "cond_idx", X.fixed3(F.col("r")).alias("r"))
 
 
 @query("e17_missing_as_blank", f"""WITH {V.COV}, {V.RC}, {V.COND}, {V.TAGS}, {V.SUB}, {V.REACT} SELECT d AS design_idx, p AS pos, cond_idx,
@@ -503,23 +501,26 @@ def join_barcode(spark, sf):
     return D.demultiplex(reads, list(V.BARCODES)).select("read_id", "tag", "seq")
 
 
-@query("j07_join_filename_barcode", f"""WITH {_BC} SELECT url AS file, tag FROM (SELECT DISTINCT upper(url) AS url FROM pages), bc
-WHERE contains(url, code) OR contains(url, tag)""")
+@query("j07_join_filename_barcode", f"""WITH {_BC}, {V.LIB}, files AS (
+  SELECT DISTINCT source || '/' || replace(substr(sequence, 1, 12), 'U', 'T') || '.fastq' AS file FROM lib)
+SELECT file, tag FROM files, bc WHERE contains(file, code) OR contains(file, tag)""")
 def file_barcode(spark, sf):
-    files = V.table(spark, sf, "pages").select(F.upper("url").alias("file")).distinct()
+    start = X.to_dna(F.substring("sequence", F.lit(1), F.lit(12)))
+    files = V.documents(spark, sf).select(F.concat("source", F.lit("/"), start, F.lit(".fastq")).alias("file")).distinct()
     return D.files_by_barcode(files, list(V.BARCODES))
 
 
 _FRAGS = f"""{V.LIB}, frags AS (SELECT design_idx, k, replace(substr(sequence, 100 * k + 1, 100), 'U', 'T') AS frag
   FROM (SELECT *, unnest(generate_series(0, (length(sequence) - 1) // 100)) AS k FROM lib WHERE sequence <> '')),
-mates AS (SELECT design_idx || '_' || k AS read_id, substr(frag, 1, 60) AS a,
+mates AS (SELECT design_idx || '_' || k AS read_id, design_idx % 2 = 1 AS second, substr(frag, 1, 60) AS a,
     CASE WHEN length(frag) > 60 THEN substr(frag, length(frag) - 59) ELSE frag END AS b FROM frags),
 ov AS (SELECT *, coalesce(list_filter(range(least(length(a), length(b)), 11, -1),
-    lambda o: substr(a, CAST(length(a) - o + 1 AS INT)) = substr(b, 1, CAST(o AS INT)))[1], 0) AS o FROM mates)"""
+    lambda o: hamming(substr(a, CAST(length(a) - o + 1 AS INT)), substr(b, 1, CAST(o AS INT))) <= 0.1 * o)[1], 0) AS o FROM mates)"""
 
 
 @query("j09_merge_pairs", f"""WITH {_FRAGS} SELECT read_id, o > 0 AS merged, CAST(o AS INT) AS overlap,
-  CASE WHEN o > 0 THEN a || substr(b, CAST(o + 1 AS INT)) ELSE a END AS seq, CASE WHEN o = 0 THEN b END AS mate_seq FROM ov""")
+  CASE WHEN o = 0 THEN a WHEN second THEN substr(a, 1, CAST(length(a) - o AS INT)) || b
+    ELSE a || substr(b, CAST(o + 1 AS INT)) END AS seq, CASE WHEN o = 0 THEN b END AS mate_seq FROM ov""")
 def merge_pairs(spark, sf):
     lib = V.documents(spark, sf).where("sequence <> ''")
     frag = lib.select("design_idx", "sequence", F.explode(F.sequence(F.lit(0), F.floor((F.length("sequence") - 1) / 100).cast("int"))).alias("k")).select(
@@ -527,8 +528,9 @@ def merge_pairs(spark, sf):
         X.to_dna(F.substring("sequence", F.col("k") * 100 + 1, F.lit(100))).alias("frag"))
     first = frag.select("read_id", F.substring("frag", 1, 60).alias("seq")).withColumn("qual", F.repeat(F.lit("I"), F.length("seq")))
     tail = F.substring("frag", F.greatest(F.length("frag") - 59, F.lit(1)), F.lit(60))
-    second = frag.select("read_id", X.reverse_complement(tail).alias("seq")).withColumn("qual", F.repeat(F.lit("H"), F.length("seq")))
-    return P.merge_pairs(first, second, mismatch_rate=0.0).drop("qual")
+    better = F.when(F.substring_index("read_id", "_", 1).cast("bigint") % 2 == 1, "J").otherwise("H")
+    second = frag.select("read_id", X.reverse_complement(tail).alias("seq"), F.repeat(better, F.length(tail)).alias("qual"))
+    return P.merge_pairs(first, second).drop("qual", "mate_qual")
 
 
 _PILE = f"""{_ALN}, ev AS (
@@ -585,9 +587,9 @@ def read_chunks(spark, sf):
     return D.read_chunks(V.table(spark, sf, "events").select("event_id", F.col("event_id").alias("ordinal")), 700).drop("ordinal")
 
 
-@query("w07_chunk_ordinal", f"WITH {V.LIB} SELECT design_idx, CAST((row_number() OVER (ORDER BY design_idx) - 1) // 100 + 1 AS BIGINT) AS chunk FROM lib WHERE lang <> 'de'")
+@query("w07_chunk_ordinal", f"WITH {V.LIB} SELECT design_idx, CAST((row_number() OVER (ORDER BY design_idx) - 1) // 100 + 1 AS BIGINT) AS chunk FROM lib")
 def chunk_ordinal(spark, sf):
-    lib = V.documents(spark, sf).where("lang <> 'de'")
+    lib = V.documents(spark, sf)
     return D.read_chunks(lib.select("design_idx", F.col("design_idx").alias("ordinal")), 100).drop("ordinal")
 
 

@@ -203,9 +203,9 @@ def stats_by_condition(spark, sf):
     return V.rounded(out, "mean_reads", "mean_to_median", "norm_val", "mean_react", "median_norm", "mean_sn", "frac_sn1")
 
 
-def _quality(spark, sf, strict_reads=False):
+def _quality(spark, sf, strict_reads=False, sn_cutoff=1.0):
     a = _analysis(spark, sf)
-    return Q.quality_pass(a.signal_to_noise, _dense_reads(a), strict_reads=strict_reads)
+    return Q.quality_pass(a.signal_to_noise, _dense_reads(a), sn_cutoff=sn_cutoff, strict_reads=strict_reads)
 
 
 @query("f03_filter_quality_good", f"""WITH {_QUALITY} SELECT d AS design_idx, cond_idx FROM quality
@@ -223,18 +223,17 @@ def quality_bad(spark, sf):
 
 
 @query("u04_intersect_idx", f"""WITH {_QUALITY} SELECT d AS design_idx FROM quality
-WHERE cond_idx = 1 AND signal_to_noise >= 1 AND reads >= 100
-INTERSECT SELECT d FROM quality WHERE cond_idx = 2 AND signal_to_noise >= 1 AND reads >= 100""")
+WHERE cond_idx = 1 AND signal_to_noise >= 0.2 AND reads >= 100
+INTERSECT SELECT d FROM quality WHERE cond_idx = 2 AND signal_to_noise >= 0.2 AND reads >= 100""")
 def quality_intersect(spark, sf):
-    good = _quality(spark, sf).where("passes")
+    good = _quality(spark, sf, sn_cutoff=0.2).where("passes")
     return good.where("cond_idx = 1").select("design_idx").intersect(good.where("cond_idx = 2").select("design_idx"))
 
 
 @query("f04_filter_quality_heatmap", f"""WITH {_QUALITY}, picked AS (
-  SELECT d, row_number() OVER (ORDER BY d) AS k, count(*) OVER () AS n FROM quality
+  SELECT d, row_number() OVER (ORDER BY d) AS k FROM quality
   WHERE cond_idx = 3 AND signal_to_noise >= 1 AND reads > 100)
-SELECT d AS design_idx, 'small' AS figure FROM picked WHERE k <= 500
-UNION ALL SELECT d, 'large' FROM picked WHERE n > 500 AND k <= 10000""")
+SELECT d AS design_idx, k AS ordinal FROM picked""")
 def heatmap(spark, sf):
     return Q.heatmap_designs(_quality(spark, sf, strict_reads=True), 3)
 
@@ -423,14 +422,15 @@ def subdivide_counts(spark, sf):
 
 
 @query("f06_filter_header_contains", f"""WITH {_TAGGED} SELECT design_idx, header FROM tagged
-WHERE contains(header, 'sublibrary:src1') ORDER BY design_idx LIMIT 5000""")
+WHERE contains(header, 'sublibrary:src1')""")
 def header_contains(spark, sf):
-    return Q.first_designs(D.headers_with(_tagged(spark, sf), "sublibrary:src1"), 5000)
+    return D.headers_with(_tagged(spark, sf), "sublibrary:src1")
 
 
-@query("o03_first_designs", f"WITH {V.LIB} SELECT design_idx, header, sequence FROM lib ORDER BY design_idx LIMIT 500")
+@query("o03_first_designs", f"""WITH {V.LIB} SELECT design_idx, header, sequence,
+  row_number() OVER (ORDER BY design_idx) AS ordinal FROM lib""")
 def first_designs(spark, sf):
-    return Q.first_designs(V.documents(spark, sf).select("design_idx", "header", "sequence"), 500)
+    return Q.numbered_designs(V.documents(spark, sf).select("design_idx", "header", "sequence"))
 
 
 # Run reports ---------------------------------------------------------------------------------------
@@ -461,8 +461,9 @@ def funnel_overall(spark, sf):
 
 
 _FILES = """files AS (
-  SELECT 'run/' || user_id AS directory, CASE WHEN event_type = 'error' THEN 'run.err' ELSE 'run.out' END AS file,
-    CAST(floor(greatest(value - 5, 0)) AS BIGINT) AS size FROM events WHERE event_type IN ('error', 'view')),
+  SELECT 'run/' || user_id AS directory,
+    CASE event_type WHEN 'error' THEN 'run.err' WHEN 'view' THEN 'run.out' ELSE event_type || '.log' END AS file,
+    CAST(floor(greatest(value - 5, 0)) AS BIGINT) AS size FROM events),
 review AS (
   SELECT directory, count(*) FILTER (file = 'run.out') = 0 AS no_run,
     coalesce(max(size) FILTER (file = 'run.err'), 0) > 0 AS has_error,
@@ -470,10 +471,10 @@ review AS (
 
 
 def _files(spark, sf):
-    e = V.table(spark, sf, "events").where(F.col("event_type").isin("error", "view"))
-    return e.select(
+    return V.table(spark, sf, "events").select(
         F.concat(F.lit("run/"), F.col("user_id").cast("string")).alias("directory"),
-        F.when(F.col("event_type") == "error", "run.err").otherwise("run.out").alias("file"),
+        F.when(F.col("event_type") == "error", "run.err").when(F.col("event_type") == "view", "run.out")
+        .otherwise(F.concat("event_type", F.lit(".log"))).alias("file"),
         F.floor(F.greatest(F.col("value") - 5, F.lit(0.0))).cast("bigint").alias("size"),
     )
 

@@ -53,16 +53,6 @@ def fresh_path(spark: SparkSession, stem: str) -> str:
     return f"{shared_folder(spark)}/{stem}-{uuid.uuid4().hex}"
 
 
-def spread_small(df: DataFrame, *keys: str) -> DataFrame:
-    """Use all cores on input that arrives in fewer splits than there are cores.
-
-    Only planning is needed to count the splits. Large inputs have many and
-    are returned as they are, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
-
-
 def written(df: DataFrame, stem: str) -> DataFrame:
     """Write a table to the shared folder and go on from the files.
 

@@ -15,7 +15,6 @@ from ..operators.signal import classify_signal, signal_to_noise
 from ..plans.analysis import Analysis
 
 ENTRY_CHUNK = 10000
-ENTRY_CHUNK_ABOVE = 15000
 
 
 def value_arrays(a: Analysis, cond_idx: int, length: int, columns=("r", "r_err")) -> DataFrame:
@@ -118,15 +117,14 @@ def entry_annotations(a: Analysis, cond_idx: int, prefix: str, sn_cutoff: float
 
 
 def entry_lines(a: Analysis, cond_idx: int, length: int, prefix: str, name: str, annotations_all: list[str] = (),
-                comments: list[str] = (), keep_bad: bool = True) -> DataFrame:
+                comments: list[str] = (), keep_bad: bool = True, chunk_designs: int = ENTRY_CHUNK) -> DataFrame:
     """Text lines (chunk, section, design_idx, value) of the reactivity entry file of one condition.
 
     Sections: 0 the file's head, 1 a design's annotations, 2 its values, 3 its
     errors; only positions inside the blanked ends are published. Libraries
-    above 15 000 designs are cut into files of 10 000 by ordinal.
+    of any size are cut into files of ``chunk_designs`` by ordinal.
     """
-    designs = a.library.agg(F.count("*").alias("n")).scalar()
-    chunk = F.when(designs > ENTRY_CHUNK_ABOVE, F.floor((F.col("design_idx") - 1) / ENTRY_CHUNK) + 1).otherwise(1)
+    chunk = F.floor((F.col("design_idx") - 1) / chunk_designs) + 1
     notes = entry_annotations(a, cond_idx, prefix)
     if not keep_bad:
         notes = notes.where("good")

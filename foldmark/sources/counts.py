@@ -1,4 +1,4 @@
-"""Count matrices from text files and, where h5py is installed, HDF5."""
+"""Count matrices from text files."""
 
 from __future__ import annotations
 
@@ -55,41 +55,3 @@ def read_counts_dir(spark: SparkSession, folder: str, raw_counts: bool = True, p
             paths.append(f"{folder}/raw_counts/*.txt*")
     counts = read_counts_text(spark, paths)
     return counts if first is None else counts.where(F.col("design_idx").between(first, last))
-
-
-def read_counts_hdf5(spark: SparkSession, path: str, tag: str, n_designs: int, chunk: int = 1000) -> DataFrame:
-    """Tensor counts (design_idx, pos, tag, ref, read, n) of an HDF5 file on shared storage.
-
-    Needs h5py on the executors. Each task reads hyperslabs of ``chunk``
-    designs; both layouts (mutations + insertions, or one dataset with six
-    read letters) are understood.
-    """
-    starts = spark.range(0, n_designs, chunk)
-
-    def read(batches):
-        import h5py  # optional dependency, only needed here
-        import numpy as np
-        import pandas as pd
-
-        reads = np.array(["A", "C", "G", "T", "del", "ins"])
-        with h5py.File(path, "r") as f:
-            old = f"{tag}/mutations" in f
-            names = []
-            f.visititems(lambda n, o: names.append(n) if isinstance(o, h5py.Dataset) else None)
-            for batch in batches:
-                for lo in batch["id"]:
-                    if old:
-                        block = f[f"{tag}/mutations"][lo:lo + chunk]
-                        ins = f[f"{tag}/insertions"][lo:lo + chunk]
-                        block = np.concatenate([block, ins.reshape(*block.shape[:3], -1).sum(-1, keepdims=True)], axis=3)
-                    else:
-                        block = f[names[0]][lo:lo + chunk]
-                    d, p, ref, rd = np.nonzero(block)
-                    yield pd.DataFrame({
-                        "design_idx": d + lo + 1, "pos": (p + 1).astype("int32"), "tag": tag,
-                        "ref": reads[ref], "read": reads[rd], "n": block[d, p, ref, rd].astype("int64"),
-                    })
-
-    return starts.repartition(max(1, -(-n_designs // chunk))).mapInPandas(
-        read, "design_idx bigint, pos int, tag string, ref string, read string, n bigint"
-    )

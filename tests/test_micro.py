@@ -1,8 +1,10 @@
 """Hand-computed cases on a few designs."""
 
+import itertools
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -126,20 +128,18 @@ def test_signal_classes(spark):
 
 
 def brute_spread(seq, strict, se, dele, de):
-    out, err, a = [0.0] * len(seq), [0.0] * len(seq), 0
-    while a < len(seq):
-        b = a
-        while b + 1 < len(seq) and seq[b + 1] == seq[a]:
-            b += 1
-        w = [max(x, 0.0) for x in strict[a:b + 1]]
-        tot = sum(w)
-        for i in range(a, b + 1):
-            share = w[i - a] / tot if tot > 0 else 1 / (b - a + 1)
-            share_err = se[i] * (1 - share) / tot if tot > 0 else 0.0
-            keep, keep_err = (dele[i], de[i]) if i < b else (0.0, 0.0)
-            out[i] = keep + dele[b] * share
-            err[i] = math.sqrt(keep_err ** 2 + (de[b] * share) ** 2 + (dele[b] * share_err) ** 2)
-        a = b + 1
+    """Every run of one letter shares out what its last position has, in proportion to the positive strict rates."""
+    out, err = [], []
+    for _, run in itertools.groupby(range(len(seq)), key=lambda i: seq[i]):
+        run = list(run)
+        weight = np.clip([strict[i] for i in run], 0, None)
+        share = weight / weight.sum() if weight.sum() > 0 else np.full(len(run), 1 / len(run))
+        share_err = np.array([se[i] for i in run]) * (1 - share) / weight.sum() if weight.sum() > 0 else np.zeros(len(run))
+        own, own_err = np.array([dele[i] for i in run]), np.array([de[i] for i in run])
+        given, given_err = own[-1], own_err[-1]
+        own[-1] = own_err[-1] = 0
+        out += (own + given * share).tolist()
+        err += np.sqrt(own_err ** 2 + (given_err * share) ** 2 + (given * share_err) ** 2).tolist()
     return out, err
 
 
