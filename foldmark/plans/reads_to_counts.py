@@ -12,13 +12,16 @@ from ..operators.reads import demultiplex, min_mapq, quality_and_adapter_trim
 
 
 def reads_to_counts(mates1: DataFrame, mates2: DataFrame | None, library: DataFrame,
-                    barcodes: list[tuple[str, str]], max_edits: int = 4, trim: bool = True, min_quality: int = 10) -> DataFrame:
+                    barcodes: list[tuple[str, str]], max_edits: int | None = None, trim: bool = True, min_quality: int = 10,
+                    k: int = 12) -> DataFrame:
     """Counts of a whole sequencing run.
 
     ``library`` has design_idx, name and sequence; read 1 starts with the
     barcode and is antisense to the design. Mates that don't overlap are both
     carried on; the second has its tag from the first. Alignments below
     ``min_quality``, as of reads that fit two designs alike, aren't counted.
+    Reads are found up to a number of edits that grows with their length (see
+    align_reads).
     Every stage is lazy; a long run should write the alignments and go on from
     that table.
     """
@@ -31,7 +34,7 @@ def reads_to_counts(mates1: DataFrame, mates2: DataFrame | None, library: DataFr
         second = clean(pairs.where("not merged").select("read_id", F.col("mate_seq").alias("seq"), F.col("mate_qual").alias("qual")))
         second = second.join(tagged.select("read_id", "tag"), "read_id").withColumn("read_id", F.concat("read_id", F.lit("/2")))
         tagged = tagged.unionByName(second)
-    aligned = align_reads(tagged, library, max_edits=max_edits, strands=("-",))
+    aligned = align_reads(tagged, library, max_edits=max_edits, k=k, strands=("-",))
     return pileup(min_mapq(aligned, min_quality), library)
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,9 +28,20 @@ def local_session(cores: int = 8, app: str = "foldmark", shuffle_partitions: int
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    ship(spark)
     return spark
 
 
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, for sessions that were not submitted with it and run from any folder."""
+    package = Path(__file__).resolve().parent
+    place = Path(tempfile.mkdtemp(prefix="foldmark-package-")) / "foldmark-package.zip"
+    with zipfile.ZipFile(place, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    spark.sparkContext.addPyFile(str(place))
+
+
 _own_folder: str | None = None
 
 

@@ -68,7 +68,7 @@ def test_gapped_comparison_against_plain_recurrence():
             i = rng.randrange(len(read))
             rng.choice([lambda: read.pop(i), lambda: read.insert(i, "G"), lambda: read.__setitem__(i, "T")])()
         read = "".join(read)
-        score, start, cigar, edits = _glocal(read, ref)
+        score, start, cigar, edits = _glocal([read], [ref])[0]
         assert score == slow_score(read, ref)
         # the CIGAR reproduces the score
         import re
@@ -111,6 +111,22 @@ def test_every_read_within_the_edit_limit_is_found(spark):
         assert got[k].ref == ref and got[k].score >= score
 
 
+@pytest.mark.parametrize("k, most", [(12, 5), (8, 9)])
+def test_edit_limit_grows_with_the_read(spark, k, most):
+    rng = random.Random(12)
+    designs = [(i + 1, f"d{i}", rand_seq(rng, 90)) for i in range(40)]
+    reads = []
+    for n in range(120):
+        d, edits = rng.choice(designs), rng.randint(0, most)
+        s = list(d[2][5:85])
+        for i in rng.sample(range(80), edits):
+            s[i] = rng.choice([c for c in "ACGT" if c != s[i]])
+        reads.append((f"{d[1]}_{n}", "t", "".join(s)))
+    df = spark.createDataFrame(reads, "read_id string, tag string, seq string")
+    got = {r.read_id: r.ref for r in align_reads(df, spark.createDataFrame(designs, "design_idx bigint, name string, sequence string"), k=k).collect()}
+    assert got == {r[0]: r[0].split("_")[0] for r in reads}
+
+
 def test_merge_pairs_with_errors(spark):
     rng = random.Random(4)
     r1, r2, want = [], [], {}
