@@ -201,4 +201,6 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, seed: int = 42, id_col: s
     moved = rooted.join(smallest, "root").select("fingerprint", "component_id")
     ids = nodes.join(moved, "fingerprint", "left").select(
         "fingerprint", F.coalesce("component_id", "first_id").alias("component_id"))
+    # Written, so that the last join has plain shuffles at both sides and a fingerprint of very many documents is split.
+    ids = written(ids, "classes")
     return prints.join(ids, "fingerprint").select("doc_id", "fingerprint", "component_id")
