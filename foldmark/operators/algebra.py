@@ -17,7 +17,7 @@ from .signal import signal_to_noise
 VALUES = ["r", "r_err", "r_nomod"]
 
 
-def renormalize(a: Analysis, raw: DataFrame, max_sequences: int = 1000) -> Analysis:
+def renormalize(a: Analysis, raw: DataFrame, max_sequences: int | None = None) -> Analysis:
     """Normalize un-normalized reactivity by the set the current coverage picks."""
     chosen = N.normalization_set(N.total_coverage(a.coverage), max_sequences)
     blanked = N.blank_ends(raw, a.blank5, a.blank3, ["r"])
@@ -30,7 +30,7 @@ def denormalized(a: Analysis) -> DataFrame:
     return N.denormalize(a.reactivity, a.norm_val, [c for c in VALUES if c in a.reactivity.columns])
 
 
-def concat_designs(sets: list[tuple[Analysis, int]], max_sequences: int = 1000) -> Analysis:
+def concat_designs(sets: list[tuple[Analysis, int]], max_sequences: int | None = None) -> Analysis:
     """Stack data sets along designs; each comes with its number of designs.
 
     Conditions and tags must agree. Ordinals of later sets are shifted by the
@@ -68,7 +68,7 @@ def unequal_sequences(a: DataFrame, b: DataFrame) -> DataFrame:
     )
 
 
-def combine_conditions(a: Analysis, b: Analysis, max_sequences: int = 1000) -> Analysis:
+def combine_conditions(a: Analysis, b: Analysis, max_sequences: int | None = None) -> Analysis:
     """Append the conditions of ``b``, a data set of the same designs.
 
     Condition numbers of ``b`` are shifted; coverages of both count. Check the
@@ -106,7 +106,7 @@ def _map_column(column: str, mapping: dict) -> Column:
     return F.element_at(F.create_map(*items), F.col(column))
 
 
-def merge_conditions(a: Analysis, groups: list[list[int]], max_sequences: int = 1000,
+def merge_conditions(a: Analysis, groups: list[list[int]], max_sequences: int | None = None,
                      renorm: bool = True) -> Analysis:
     """Average groups of conditions; names are joined by ``_``, reads and coverage add.
 
@@ -153,7 +153,7 @@ def merge_conditions(a: Analysis, groups: list[list[int]], max_sequences: int =
     return replace(out, signal_to_noise=signal_to_noise(out.reactivity, None, a.blank5, a.blank3))
 
 
-def slice_designs(a: Analysis, chosen: DataFrame, max_sequences: int = 1000) -> Analysis:
+def slice_designs(a: Analysis, chosen: DataFrame, max_sequences: int | None = None) -> Analysis:
     """Keep the designs of ``chosen`` (design_idx) and renormalize on them."""
 
     def cut(f: DataFrame) -> DataFrame:

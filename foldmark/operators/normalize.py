@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..fixed_values import (
-    COVERAGE, FIVE_PRIME_ENDS, NORM_CUTOFFS, NORM_MAX_SEQUENCES, NORM_MIN_HITS, THREE_PRIME_ENDS,
+    COVERAGE, FIVE_PRIME_ENDS, NORM_CUTOFFS, NORM_MIN_HITS, THREE_PRIME_ENDS,
 )
-from .ordinals import BUCKET, nearest_rank_small
+from .ordinals import BUCKET, nearest_rank
 
 
 def coverage_by_tag(counts: DataFrame) -> DataFrame:
@@ -37,15 +37,17 @@ def passing_designs(totals: DataFrame, cutoffs=NORM_CUTOFFS, min_hits: int = NOR
     return totals.where(F.col("total_coverage") > cutoff)
 
 
-def normalization_set(totals: DataFrame, max_sequences: int = NORM_MAX_SEQUENCES,
+def normalization_set(totals: DataFrame, max_sequences: int | None = None,
                       cutoffs=NORM_CUTOFFS, min_hits: int = NORM_MIN_HITS) -> DataFrame:
-    """Designs used to normalize: above the cutoff, every stride-th when there are many.
+    """Designs used to normalize: all above the cutoff; with ``max_sequences``, every stride-th when there are many.
 
     Designs are cut into ranges of ordinals. One row per range, with its hits
     for every cutoff, is all that meets in one task: it settles the cutoff, the
-    stride and each range's first rank. The result has fewer than
-    2 * max_sequences rows.
+    stride and each range's first rank. With ``max_sequences`` the result has
+    fewer than twice as many rows.
     """
+    if max_sequences is None:
+        return passing_designs(totals, cutoffs, min_hits).select("design_idx", "total_coverage")
     levels = [*cutoffs, -1]
     ranged = totals.withColumn("_range", F.floor(F.col("design_idx") / F.lit(BUCKET)).cast("bigint"))
     hits = ranged.groupBy("_range").agg(*[
@@ -103,9 +105,8 @@ def norm_values(rows: DataFrame, norm_set: DataFrame | None = None, value: str =
     restricted to it already.
     """
     if norm_set is not None:
-        # fewer than 2 000 rows by construction of the set
-        rows = rows.join(F.broadcast(norm_set.select("design_idx")), "design_idx", "left_semi")
-    return nearest_rank_small(rows, list(by), value, "norm_val")
+        rows = rows.join(norm_set.select("design_idx"), "design_idx", "left_semi")
+    return nearest_rank(rows, list(by), value, "norm_val")
 
 
 def normalize(rows: DataFrame, values: DataFrame, columns: list[str],

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,109 +36,60 @@ def rank_position(n: Column, num: int = 9, den: int = 10) -> Column:
     return F.floor((F.lit(2 * num) * n + F.lit(den)) / F.lit(2 * den)).cast("bigint")
 
 
-def _pick(hist: DataFrame, groups: list[str], value: str, num: int, den: int) -> DataFrame:
-    """Nearest-rank value of each group from distinct values and their counts.
+#: Ranges that the distinct values of a group are cut into.
+RANGES = 64
+
+
+def pick_ranks(df: DataFrame, groups: list[str], value: str, picks: list[tuple[Callable[[Column], Column], bool]],
+               ranges: int = RANGES) -> DataFrame:
+    """Exact k-th smallest values of each group (columns _v0, _v1, ...), for groups of any size.
 
-    The rank is taken among all values; when that value is zero it is taken
-    again among the non-zero ones.
+    A pick is (rank as a function of the number of values, count zeros out?).
+    Equal values are counted first; all else works on these counts, whose
+    shuffle is done once and reused. A sketch cuts each group's distinct values
+    into ranges; one row per range says which one holds a rank, and only those
+    are sorted. The sketch's error moves work between ranges, not results.
     """
-    rows = hist.withColumn("_nz", F.when(F.col(value) != 0, F.col("_n")).otherwise(0))
-    whole = Window.partitionBy(*groups)
-    upto = whole.orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.select(
-        *groups, value, "_n", "_nz",
-        F.sum("_n").over(upto).alias("_cum"), F.sum("_n").over(whole).alias("_tot"),
-        F.sum("_nz").over(upto).alias("_cumz"), F.sum("_nz").over(whole).alias("_totz"),
+    counts = df.where(F.col(value).isNotNull()).groupBy(*groups, value).agg(F.count(F.lit(1)).alias("_n"))
+    hist = counts.withColumn("_nz", F.when(F.col(value) != 0, F.col("_n")).otherwise(F.lit(0)))
+    cuts = [i / ranges for i in range(1, ranges)]
+    bounds = hist.groupBy(*groups).agg(
+        F.percentile_approx(value, cuts, 20 * ranges).alias("_cuts"), F.sum("_n").alias("_all"), F.sum("_nz").alias("_allz"),
     )
-    k, kz = rank_position(F.col("_tot"), num, den), rank_position(F.col("_totz"), num, den)
-    hit = (F.col("_cum") >= k) & (F.col("_cum") - F.col("_n") < k)
-    hitz = (F.col("_cumz") >= kz) & (F.col("_cumz") - F.col("_nz") < kz)
-    return rows.where(hit | hitz).groupBy(*groups).agg(
-        F.max(F.when(hit, F.col(value))).alias("_all"),
-        F.max(F.when(hitz, F.col(value))).alias("_nonzero"),
+    placed = hist.join(bounds, groups).withColumn("_range", F.size(F.filter("_cuts", lambda c: c < F.col(value)))).drop("_cuts")
+    per = placed.groupBy(*groups, "_range").agg(
+        F.sum("_n").alias("_rn"), F.sum("_nz").alias("_rz"), F.max("_all").alias("_all"), F.max("_allz").alias("_allz"))
+    before = Window.partitionBy(*groups).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    per = per.select(
+        *groups, "_range", "_rn", "_rz", F.coalesce(F.sum("_rn").over(before), F.lit(0)).alias("_bn"),
+        F.coalesce(F.sum("_rz").over(before), F.lit(0)).alias("_bz"),
+        *[rank(F.col("_allz" if nonzero else "_all")).alias(f"_k{i}") for i, (rank, nonzero) in enumerate(picks)],
     )
 
+    def inside(i: int, nonzero: bool) -> Column:
+        k, low = F.col(f"_k{i}"), F.col("_bz" if nonzero else "_bn")
+        return (low < k) & (k <= low + F.col("_rz" if nonzero else "_rn"))
 
-def nearest_rank_small(df: DataFrame, groups: list[str], value: str, name: str,
-                       num: int = 9, den: int = 10) -> DataFrame:
-    """Nearest-rank quantile per group where a group is of bounded size.
-
-    For the normalization set (fewer than 2 000 designs). Equal values are
-    counted before they are shuffled and ranked.
-    """
-    hist = df.where(F.col(value).isNotNull()).groupBy(*groups, value).agg(F.count("*").alias("_n"))
-    picked = _pick(hist, groups, value, num, den)
-    return picked.select(*groups, _zero_rule().alias(name))
+    wanted = per.where(reduce(lambda x, y: x | y, [inside(i, z) for i, (_, z) in enumerate(picks)])).drop("_rn", "_rz")
+    upto = Window.partitionBy(*groups, "_range").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    ranked = placed.drop("_all", "_allz").join(wanted, [*groups, "_range"]).withColumns({
+        "_cn": F.sum("_n").over(upto) + F.col("_bn"), "_cz": F.sum("_nz").over(upto) + F.col("_bz")})
 
+    def at(i: int, nonzero: bool) -> Column:
+        upper, own = (F.col("_cz"), F.col("_nz")) if nonzero else (F.col("_cn"), F.col("_n"))
+        return F.max(F.when((upper >= F.col(f"_k{i}")) & (upper - own < F.col(f"_k{i}")), F.col(value)))
 
-def _zero_rule() -> Column:
-    return F.when(F.col("_all") == 0, F.coalesce("_nonzero", F.lit(0.0))).otherwise(F.col("_all"))
+    return ranked.groupBy(*groups).agg(*[at(i, z).alias(f"_v{i}") for i, (_, z) in enumerate(picks)])
 
 
-def select_ranks(df: DataFrame, groups: list[str], value: str, ranks: list, near: float,
-                 accuracy: int = 2000) -> DataFrame:
-    """Exact k-th smallest values of each group (columns _v0, _v1, ...), for groups of any size.
-
-    ``ranks`` are functions of the group's size. A quantile sketch around
-    ``near`` proposes a bracket; values outside it are only counted, those on a
-    side a rank falls on are counted per distinct value and ranked. The result
-    does not rely on the sketch's error bound: ranks are looked for on both
-    sides of the bracket, too. Groups are few (conditions, tags or positions),
-    so their bracket table has few rows and is broadcast, which keeps the rows
-    themselves from being shuffled by group.
-    """
-    rows = df.where(F.col(value).isNotNull()).select(*groups, value)
-    eps = 2.0 / accuracy
-    probs = [max(near - eps, 0.0), min(near + eps, 1.0)]
-    bounds = rows.groupBy(*groups).agg(
-        F.percentile_approx(value, probs, accuracy).alias("_b"), F.count("*").alias("_tot")
-    )
-    rows = rows.join(F.broadcast(bounds), groups).withColumn(
-        "_side",
-        F.when(F.col(value) < F.col("_b")[0], 0).when(F.col(value) <= F.col("_b")[1], 1).otherwise(2),
-    )
-    n0, n1 = F.col("_n0"), F.col("_n1")
-    ks = [rank(F.col("_tot")) for rank in ranks]
-    sides = rows.groupBy(*groups).agg(
-        F.max("_tot").alias("_tot"),
-        F.count_if(F.col("_side") == 0).alias("_n0"), F.count_if(F.col("_side") == 1).alias("_n1"),
-    )
-    sides = sides.select(
-        *groups, n0, n1, *[k.alias(f"_k{i}") for i, k in enumerate(ks)],
-        F.array(*[F.when(k <= n0, 0).when(k <= n0 + n1, 1).otherwise(2) for k in ks]).alias("_wanted"),
-    )
-    hist = (
-        rows.join(F.broadcast(sides), groups).where(F.array_contains("_wanted", F.col("_side")))
-        .groupBy(*groups, "_side", value, "_n0", "_n1", *[f"_k{i}" for i in range(len(ks))])
-        .agg(F.count("*").alias("_n"))
-    )
-    upto = Window.partitionBy(*groups, "_side").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    below = F.when(F.col("_side") == 0, 0).when(F.col("_side") == 1, n0).otherwise(n0 + n1)
-    ranked = hist.withColumn("_cum", F.sum("_n").over(upto) + below)
-
-    def at(i: int) -> Column:
-        k = F.col(f"_k{i}")
-        return F.max(F.when((F.col("_cum") >= k) & (F.col("_cum") - F.col("_n") < k), F.col(value)))
-
-    return ranked.groupBy(*groups).agg(*[at(i).alias(f"_v{i}") for i in range(len(ks))])
-
-
-def nearest_rank_large(df: DataFrame, groups: list[str], value: str, name: str,
-                       num: int = 9, den: int = 10) -> DataFrame:
-    """Exact nearest-rank quantile per group, for groups of any size, with the zero rule."""
-    ranks = [lambda n: rank_position(n, num, den)]
-    first = select_ranks(df, groups, value, ranks, num / den)
-    zero_groups = F.broadcast(first.where(F.col("_v0") == 0).select(*groups))
-    rest = df.where(F.col(value) != 0).join(zero_groups, groups, "left_semi")
-    again = select_ranks(rest, groups, value, ranks, num / den).withColumnRenamed("_v0", "_z")
-    return first.join(F.broadcast(again), groups, "left").select(
-        *groups,
-        F.when(F.col("_v0") == 0, F.coalesce("_z", F.lit(0.0))).otherwise(F.col("_v0")).alias(name),
-    )
+def nearest_rank(df: DataFrame, groups: list[str], value: str, name: str, num: int = 9, den: int = 10) -> DataFrame:
+    """Exact nearest-rank quantile of each group; where it is zero, that of the non-zero values."""
+    rank = lambda n: rank_position(n, num, den)
+    picked = pick_ranks(df, groups, value, [(rank, False), (rank, True)])
+    return picked.select(*groups, F.when(F.col("_v0") == 0, F.coalesce("_v1", F.lit(0.0))).otherwise(F.col("_v0")).alias(name))
 
 
-def median_large(df: DataFrame, groups: list[str], value: str, name: str) -> DataFrame:
-    """Exact median per group, for groups of any size."""
-    ranks = [lambda n: F.floor((n + 1) / 2), lambda n: F.floor((n + 2) / 2)]
-    mid = select_ranks(df, groups, value, ranks, 0.5)
+def median(df: DataFrame, groups: list[str], value: str, name: str) -> DataFrame:
+    """Exact median of each group."""
+    mid = pick_ranks(df, groups, value, [(lambda n: F.floor((n + 1) / 2), False), (lambda n: F.floor((n + 2) / 2), False)])
     return mid.select(*groups, ((F.col("_v0") + F.col("_v1")) / F.lit(2.0)).alias(name))

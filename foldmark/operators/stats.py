@@ -4,39 +4,22 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .ordinals import dense_ordinal, median_large
+from .ordinals import dense_ordinal, median
 from .signal import classify_signal
 
 UNITS = ("", "k", "M", "B", "T")
 
 
 def _spread_of(df: DataFrame, by: str, value: str) -> DataFrame:
-    """Sum, mean, floor of the exact median, and their ratio, of a design-level value.
-
-    The median of a group too large for one task's buffer is still exact:
-    values are counted before they are ranked.
-    """
-    hist = df.groupBy(by, value).agg(F.count("*").alias("_n"))
-    w = Window.partitionBy(by)
-    upto = w.orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    ranked = hist.select(by, value, "_n", F.sum("_n").over(upto).alias("_c"), F.sum("_n").over(w).alias("_t"))
-    lo, hi = F.floor((F.col("_t") + 1) / 2), F.floor((F.col("_t") + 2) / 2)
-
-    def at(k: Column) -> Column:
-        return F.max(F.when((F.col("_c") >= k) & (F.col("_c") - F.col("_n") < k), F.col(value)))
-
-    agg = ranked.groupBy(by).agg(
-        F.sum(F.col(value) * F.col("_n")).alias("_sum"), F.max("_t").alias("_t"),
-        at(lo).alias("_lo"), at(hi).alias("_hi"),
-    )
-    mean = F.col("_sum") / F.col("_t")
-    median = (F.col("_lo") + F.col("_hi")) / F.lit(2.0)
-    return agg.select(
-        by, F.col("_sum").alias("reads"), mean.alias("mean_reads"), F.floor(median).cast("bigint").alias("median_reads"),
-        F.try_divide(mean, median).alias("mean_to_median"),
+    """Sum, mean, floor of the exact median, and their ratio, of a design-level value."""
+    sums = df.groupBy(by).agg(F.sum(value).alias("reads"), F.count(F.lit(1)).alias("_t"))
+    mean, mid = F.col("reads") / F.col("_t"), F.col("_mid")
+    return sums.join(median(df, [by], value, "_mid"), by, "left").select(
+        by, "reads", mean.alias("mean_reads"), F.floor(mid).cast("bigint").alias("median_reads"),
+        F.try_divide(mean, mid).alias("mean_to_median"),
     )
 
 
@@ -64,12 +47,12 @@ def condition_stats(reads: DataFrame, reactivity: DataFrame, sn: DataFrame, norm
     good = sn.where(F.col("signal_to_noise") > 1.0).select("design_idx", "cond_idx")
     level = reactivity.groupBy("cond_idx").agg(F.avg("r").alias("_r"))
     of_good = reactivity.join(good, ["design_idx", "cond_idx"], "left_semi")
-    median = median_large(of_good, ["cond_idx"], "r", "median_norm")
+    middle = median(of_good, ["cond_idx"], "r", "median_norm")
     quality = sn.groupBy("cond_idx").agg(
         F.avg("signal_to_noise").alias("mean_sn"),
         F.avg((F.col("signal_to_noise") > 1.0).cast("int")).alias("frac_sn1"),
     )
-    parts = [norm_val, level, median, quality]
+    parts = [norm_val, level, middle, quality]
     out = reduce(lambda a, b: a.join(b, "cond_idx", "left"), parts, read_part)
     return out.withColumn("mean_react", F.col("_r") * F.col("norm_val")).drop("_r")
 

@@ -35,8 +35,11 @@ def reactivity(counts: DataFrame, library: DataFrame, conditions: list[Condition
 def _normalization_subset(counts, library, conditions, options, blank5, blank3, max_sequences) -> DataFrame:
     """Blanked reactivity of the normalization set only."""
     totals = N.total_coverage(N.coverage_by_tag(counts))
-    # fewer than 2 * max_sequences rows by construction
-    chosen = F.broadcast(N.normalization_set(totals, max_sequences).select("design_idx"))
+    chosen = N.normalization_set(totals, max_sequences).select("design_idx")
+    if max_sequences is None:
+        r = reactivity(counts, library, conditions, options).join(chosen, "design_idx", "left_semi")
+        return N.blank_ends(r, blank5, blank3, ["r"])
+    chosen = F.broadcast(chosen)  # fewer than 2 * max_sequences rows by construction
     subset = reactivity(
         counts.join(chosen, "design_idx", "left_semi"),
         library.join(chosen, "design_idx", "left_semi"), conditions, options,
@@ -46,7 +49,7 @@ def _normalization_subset(counts, library, conditions, options, blank5, blank3,
 
 def normalize_by_nucleotide(counts: DataFrame, library: DataFrame, conditions: list[Condition],
                             options: ReactivityOptions = ReactivityOptions(), blank5: int = 0, blank3: int = 0,
-                            max_norm_sequences: int = 1000) -> DataFrame:
+                            max_norm_sequences: int | None = None) -> DataFrame:
     """Reactivity divided by a separate 90th percentile for each nucleotide."""
     library = with_length(library)
     subset = _normalization_subset(counts, library, conditions, options, blank5, blank3, max_norm_sequences)
@@ -85,12 +88,12 @@ def reads_per_condition(coverage: DataFrame, conditions: list[Condition]) -> Dat
 
 def analyse(counts: DataFrame, library: DataFrame, conditions: list[Condition],
             options: ReactivityOptions = ReactivityOptions(), blank5: int = 0, blank3: int = 0,
-            max_norm_sequences: int = 1000) -> Analysis:
+            max_norm_sequences: int | None = None) -> Analysis:
     """Build the plans of a full analysis.
 
-    The norm values need only the designs of the normalization set (fewer than
-    2 * max_norm_sequences), so the counts are cut down to those before any
-    reactivity is computed for them.
+    Norm values are exact ranks over all designs above the cutoff. With
+    ``max_norm_sequences`` they come from every stride-th of them, and the
+    counts are cut down to those before any reactivity is computed for them.
     """
     library = with_length(library)
     if options.focus_on_conditions:

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..fixed_values import FIVE_PRIME_ENDS, NORM_MAX_SEQUENCES, THREE_PRIME_ENDS
 from ..operators import normalize as N
 from ..operators import reactivity as R
 from ..operators import spread as S
-from ..operators.ordinals import nearest_rank_large
+from ..operators.ordinals import nearest_rank
 from ..operators.signal import classify_signal, signal_to_noise
 from ..options import ReactivityOptions
 from ..plans import analysis as A
@@ -275,10 +276,10 @@ def cascade(spark, sf):
     return N.passing_designs(N.total_coverage(N.coverage_by_tag(V.counts(spark, sf))))
 
 
-@query("w05_stride_sample", f"""WITH {V.COV}, {V.COVMAX}, {V.TOTALS}, {V.NORMSET}
-SELECT d AS design_idx, total_coverage FROM normset""")
+@query("w05_stride_sample", f"""WITH {V.COV}, {V.COVMAX}, {V.TOTALS}, {V.NORMSET}, {V.STRIDED}
+SELECT d AS design_idx, total_coverage FROM strided""")
 def stride_sample(spark, sf):
-    return N.normalization_set(N.total_coverage(N.coverage_by_tag(V.counts(spark, sf))))
+    return N.normalization_set(N.total_coverage(N.coverage_by_tag(V.counts(spark, sf))), NORM_MAX_SEQUENCES)
 
 
 @query("f14_blank_ends", f"""WITH {V.COV}, {V.RC}, {V.COND}, {V.TAGS}, {V.SUB}, {V.REACT}
@@ -289,19 +290,18 @@ def blank(spark, sf):
     return V.rounded(out.select("design_idx", "pos", "cond_idx", "r", "r_err"), "r", "r_err")
 
 
-@query("f15_auto_blank_ends", f"""WITH {V.LIB} SELECT design_idx,
-  CASE WHEN length(s) > 26 AND starts_with(s, 'GGGAACGACUCGAGUAGAGUCGAAAA') THEN 26
-       WHEN length(s) > 46 AND starts_with(s, 'UUCUAAUACGACUCACUAUAGGGAACGACUCGAGUAGAGUCGAAAA') THEN 46 ELSE 0 END AS blank5,
-  CASE WHEN length(s) > 20 AND ends_with(s, 'AAAGAAACAACAACAACAAC') THEN 20 ELSE 0 END AS blank3
-FROM (SELECT design_idx, CASE design_idx % 3 WHEN 0 THEN 'GGGAACGACUCGAGUAGAGUCGAAAA'
-       WHEN 1 THEN 'UUCUAAUACGACUCACUAUAGGGAACGACUCGAGUAGAGUCGAAAA' ELSE '' END || sequence ||
-       CASE design_idx % 2 WHEN 0 THEN 'AAAGAAACAACAACAACAAC' ELSE '' END AS s FROM lib)""")
+_ENDS5 = " ".join(f"WHEN length(s) > {n} AND starts_with(s, '{end}') THEN {n}" for end, n in FIVE_PRIME_ENDS)
+_ENDS3 = " ".join(f"WHEN length(s) > {n} AND ends_with(s, '{end}') THEN {n}" for end, n in THREE_PRIME_ENDS)
+
+
+@query("f15_auto_blank_ends", f"""WITH {V.LIB} SELECT design_idx, CASE {_ENDS5} ELSE 0 END AS blank5, CASE {_ENDS3} ELSE 0 END AS blank3
+FROM (SELECT design_idx, CASE design_idx % 3 WHEN 0 THEN '{FIVE_PRIME_ENDS[0][0]}' WHEN 1 THEN '{FIVE_PRIME_ENDS[1][0]}' ELSE '' END
+       || sequence || CASE design_idx % 2 WHEN 0 THEN '{THREE_PRIME_ENDS[0][0]}' ELSE '' END AS s FROM lib)""")
 def auto_blank(spark, sf):
     i = F.col("design_idx")
     flanked = V.documents(spark, sf).select("design_idx", F.concat(
-        F.when(i % 3 == 0, "GGGAACGACUCGAGUAGAGUCGAAAA")
-        .when(i % 3 == 1, "TTCTAATACGACTCACTATAGGGAACGACTCGAGTAGAGTCGAAAA").otherwise(""),
-        "sequence", F.when(i % 2 == 0, "AAAGAAACAACAACAACAAC").otherwise(""),
+        F.when(i % 3 == 0, FIVE_PRIME_ENDS[0][0]).when(i % 3 == 1, FIVE_PRIME_ENDS[1][0].replace("U", "T")).otherwise(""),
+        "sequence", F.when(i % 2 == 0, THREE_PRIME_ENDS[0][0]).otherwise(""),
     ).alias("s"))
     b5, b3 = N.auto_blank_ends(F.col("s"))
     return flanked.select("design_idx", b5.alias("blank5"), b3.alias("blank3"))
@@ -316,14 +316,14 @@ _PER_TAG = f"""WITH {V.COV}, {V.RC}, f AS (
        f"{_PER_TAG}, {V.norm_values_sql('f', 't', 'f')} SELECT t AS tag, round(norm_val, 9) AS norm_val FROM nv")
 def percentile90(spark, sf):
     f = R.mutation_fraction(V.counts(spark, sf)).select("tag", "f")
-    return V.rounded(nearest_rank_large(f, ["tag"], "f", "norm_val"), "norm_val")
+    return V.rounded(nearest_rank(f, ["tag"], "f", "norm_val"), "norm_val")
 
 
 @query("o02_sort_for_rank",
        f"""{_PER_TAG}, {V.norm_values_sql('f', 'p', 'f')} SELECT p AS pos, round(norm_val, 9) AS norm_val FROM nv""")
 def percentile90_by_position(spark, sf):
     f = R.mutation_fraction(V.counts(spark, sf)).select("pos", "f")
-    return V.rounded(nearest_rank_large(f, ["pos"], "f", "norm_val"), "norm_val")
+    return V.rounded(nearest_rank(f, ["pos"], "f", "norm_val"), "norm_val")
 
 
 _BLANKED = "blanked AS (SELECT d, p, b, cond_idx, CASE WHEN p > 1 AND p <= 6 THEN r END AS r, re, nomod FROM full_r)"

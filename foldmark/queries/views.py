@@ -168,8 +168,9 @@ pass AS (
   SELECT d, total_coverage, row_number() OVER (ORDER BY d) AS k, count(*) OVER () AS n
   FROM totals, cut WHERE total_coverage > cutoff),
 normset AS (
-  SELECT d, total_coverage FROM pass
-  WHERE k % (CASE WHEN n > 1000 THEN n // 1000 ELSE 1 END) = 0)"""
+  SELECT d, total_coverage FROM pass)"""
+STRIDED = """strided AS (
+  SELECT d, total_coverage FROM pass WHERE k % (CASE WHEN n > 1000 THEN n // 1000 ELSE 1 END) = 0)"""
 
 
 def norm_values_sql(rows: str, group: str = "cond_idx", value: str = "r", name: str = "nv") -> str:

@@ -56,22 +56,22 @@ def test_nearest_rank_rounds_halves_up(spark, n):
     if want == 0:
         rest = [v for v in values if v != 0]
         want = nearest_rank(rest) if rest else 0.0
-    for f in (O.nearest_rank_small, O.nearest_rank_large):
+    for f in (O.nearest_rank,):
         assert rows(f(df, ["g"], "v", "x")) == [("g", want)]
 
 
 def test_nearest_rank_zero_rule(spark):
     df = spark.createDataFrame([("a", 0.0)] * 30 + [("a", 2.0), ("a", 5.0)] + [("b", 0.0)] * 4, "g string, v double")
-    for f in (O.nearest_rank_small, O.nearest_rank_large):
+    for f in (O.nearest_rank,):
         assert rows(f(df, ["g"], "v", "x"), "g") == [("a", 5.0), ("b", 0.0)]
 
 
 def test_large_rank_with_one_dominant_value(spark):
     values = [1.0] * 4000 + [i / 1000 for i in range(3000)]
     df = spark.createDataFrame([("g", v) for v in values], "g string, v double")
-    assert rows(O.nearest_rank_large(df, ["g"], "v", "x")) == [("g", nearest_rank(values))]
+    assert rows(O.nearest_rank(df, ["g"], "v", "x")) == [("g", nearest_rank(values))]
     middle = sorted(values)
-    assert rows(O.median_large(df, ["g"], "v", "x")) == [("g", (middle[3499] + middle[3500]) / 2)]
+    assert rows(O.median(df, ["g"], "v", "x")) == [("g", (middle[3499] + middle[3500]) / 2)]
 
 
 @pytest.mark.parametrize("find_hot", [True, False])
@@ -203,11 +203,19 @@ def test_cascade(spark, high, mid, low, want):
 @pytest.mark.parametrize("n,kept", [(1000, 1000), (1001, 1001), (1999, 1999), (2000, 1000), (3001, 1000)])
 def test_stride(spark, n, kept):
     totals = spark.range(1, n + 1).select(F.col("id").alias("design_idx"), F.lit(20000).cast("bigint").alias("total_coverage"))
-    got = [r[0] for r in N.normalization_set(totals).orderBy("design_idx").collect()]
+    assert N.normalization_set(totals).count() == n
+    got = [r[0] for r in N.normalization_set(totals, 1000).orderBy("design_idx").collect()]
     stride = n // 1000 if n > 1000 else 1
     assert got == list(range(stride, n + 1, stride)) and len(got) == kept
 
 
+def test_ranks_of_a_large_group(spark):
+    df = spark.range(400_000).select(F.lit("a").alias("g"), ((F.col("id") * 7919) % 400_009).cast("double").alias("v"))
+    values = sorted(float(i * 7919 % 400_009) for i in range(400_000))
+    assert rows(O.nearest_rank(df, ["g"], "v", "x")) == [("a", values[360_000 - 1])]
+    assert rows(O.median(df, ["g"], "v", "x")) == [("a", (values[199_999] + values[200_000]) / 2)]
+
+
 def test_blanking_follows_each_length(spark):
     r = spark.createDataFrame([(d, p, n, 1.0) for d, n in ((1, 4), (2, 6)) for p in range(1, n + 1)],
                               "design_idx bigint, pos int, seq_len int, r double")
