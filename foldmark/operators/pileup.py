@@ -79,18 +79,18 @@ def pileup(alignments: DataFrame, library: DataFrame, collapse: bool = True, min
     mutations in a read only the 3'-most counts. Every base of an aligned or
     deleted stretch is covered once per read.
 
-    A read becomes a few rows: its mutations, and +1/-1 where its coverage
+    Equal alignments are counted first and walked once. One becomes a few rows: its mutations, and +1/-1 where its coverage
     begins and ends. These are summed per position before the shuffle, so a
     design most reads come from costs no more than one row per position and
     task; the running sum over a design's positions gives the coverage.
     """
     refs = library.select("design_idx", F.col("name").alias("ref"), F.translate("sequence", "U", "T").alias("_ref"))
-    keep = ["read_id", "tag", "ref", "pos", "cigar", "seq"] + (["qual"] if min_base_quality else [])
-    reads = alignments.where(F.length("seq") >= min_length).select(*keep)
-    joined = lookup_join(reads, refs, "ref", spread_by="read_id", how="inner")
+    keep = ["tag", "ref", "pos", "cigar", "seq"] + (["qual"] if min_base_quality else [])
+    reads = alignments.where(F.length("seq") >= min_length).groupBy(*keep).agg(F.count(F.lit(1)).alias("_weight"))
+    joined = lookup_join(reads, refs, "ref", spread_by="seq", how="inner")
     # Only the stretch of the reference a read lies on is walked.
     joined = joined.select(
-        "design_idx", "tag", "pos", "seq", *keep[6:],
+        "design_idx", "tag", "pos", "seq", "_weight", *keep[5:],
         F.substring("_ref", F.col("pos"), reference_span(F.col("cigar"))).alias("_ref"),
         cigar_blocks(F.col("cigar")).alias("_blocks"),
     )
@@ -128,8 +128,8 @@ def pileup(alignments: DataFrame, library: DataFrame, collapse: bool = True, min
             lambda i: b["ref_start"] + i,
         )))
         rows += [F.transform(low, lambda p: row(p, _STEP, -1)), F.transform(low, lambda p: row(p + 1, _STEP, 1))]
-    events = joined.select("design_idx", "tag", "pos", F.explode(F.concat(*rows)).alias("x")).select(
-        "design_idx", "tag", (F.col("pos") + F.col("x.at") - 1).alias("pos"), "x.measure", "x.n"
+    events = joined.select("design_idx", "tag", "pos", "_weight", F.explode(F.concat(*rows)).alias("x")).select(
+        "design_idx", "tag", (F.col("pos") + F.col("x.at") - 1).alias("pos"), "x.measure", (F.col("x.n") * F.col("_weight")).alias("n")
     ).groupBy("design_idx", "tag", "measure", "pos").agg(F.sum("n").alias("n"))
     return _with_coverage(events)
 

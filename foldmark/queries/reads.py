@@ -32,7 +32,8 @@ TILES = f"""{V.LIB}, tiles AS (
 
 
 def _tiles(spark, sf):
-    lib = V.documents(spark, sf).where(F.length("sequence") > 0)
+    # Dealt out while a design is one short row: each becomes many reads, and most of the work.
+    lib = V.documents(spark, sf).where(F.length("sequence") > 0).select("design_idx", "sequence").repartition("design_idx")
     rows = lib.select("design_idx", X.to_dna(F.col("sequence")).alias("dna"), F.explode(
         F.sequence(F.lit(0), F.floor((F.length("sequence") - 1) / 40).cast("int"))).alias("k"))
     return rows.withColumn("start", F.col("k") * 40 + 1).withColumn("seq", F.substring("dna", F.col("start"), F.lit(60)))
