@@ -13,7 +13,9 @@ from pyspark.sql import DataFrame
 from .batches import joined_bytes, keyed_texts, raw_texts, text_slices
 
 #: Ids of so many different cores are kept by a worker before it starts anew; longer ones aren't kept.
-KEPT_CORES, KEPT_BYTES = 250_000, 64
+KEPT_CORES, KEPT_BYTES = 300_000, 64
+#: Bytes of text encoded together: the more, the fewer runs are met again.
+TOGETHER_BYTES = 8 << 20
 #: Punctuation that is cut from the end of a run where a letter or digit is in front of it: always tokens of its own.
 _TAIL = b".,;:!?|*$%&#-_()[]{}\"/\\<>=+~^@`"
 
@@ -115,7 +117,7 @@ def tokenized_pieces(docs: DataFrame, tokenizer_path: str, capacity: int, end_id
         part = TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
         last = np.array([end_id], "<u4").tobytes()
-        for batch in text_slices(batches):
+        for batch in text_slices(batches, most=TOGETHER_BYTES):
             ids, rows = [], []
             for doc, whole in zip(batch.column("doc_id").to_pylist(), encoder.encode(batch.column("text"))):
                 whole += last
