@@ -11,8 +11,9 @@ from foldmark.llm import language, repeats, simhash
 from foldmark.llm.queries import labelled, packed_documents
 from foldmark.session import written
 
-#: A document whose best language accounts for less than this share of its n-grams has no known language.
-LEAST_COVERAGE = 0.2
+#: A document whose best language accounts for less than this share of its n-grams has no known language, if it has at
+#: least so many n-grams; of fewer (some twenty words) the share says little, and a word of three letters has none.
+LEAST_COVERAGE, LEAST_GRAMS = 0.2, 100
 
 
 def _source(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,12 +23,14 @@ def _source(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents written in a language that the labelled ones teach; a null ``lang`` becomes the language found.
 
-    What goes has no letters, or too few n-grams of any one language. Languages
-    are learned from the stage's own input. Rows pass where they are read.
+    What goes has no letters, or is long enough to judge and has too few n-grams
+    of any one language. Languages are learned from the stage's own input. Rows
+    pass where they are read.
     """
     docs = _source(spark, docs, sf_dir)
     found = docs.select(*docs.columns, language.predicted(F.col("text"), language.fit(labelled(docs)), spark).alias("_found"))
-    kept = found.where((F.col("_found.lang_pred") != language.UNKNOWN) & (F.col("_found.coverage") >= LEAST_COVERAGE))
+    foreign = (F.col("_found.n_grams") >= LEAST_GRAMS) & (F.col("_found.coverage") < LEAST_COVERAGE)
+    kept = found.where((F.col("_found.lang_pred") != language.UNKNOWN) & ~foreign)
     return kept.withColumn("lang", F.coalesce("lang", F.col("_found.lang_pred"))).select(*docs.columns)
 
 

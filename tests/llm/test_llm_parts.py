@@ -375,3 +375,13 @@ def test_pipeline_odd(spark, odd, none):
             out = stage(spark, df, "")
             assert name == corpus_pipeline.STAGES[-1][0] or out.columns == df.columns
             out.collect()
+
+
+def test_pipeline_keeps_short_texts(spark):
+    prose = "the cat sat on the mat and the dog ran to the house while it was raining over there "
+    short = [(100, "A.", "en"), (101, "Re.", "en"), (102, "De.", "fr"), (103, "Zyzzyx", "en"), (104, "日本語", None)]
+    rows = [(i, prose * 3 + str(i), "en") for i in range(20)] + short
+    rows += [(302, "日本語" * 80, "en"), (301, "12 !!", "en"), (300, "", "en"), (303, None, "en")]
+    docs = spark.createDataFrame([(d, t, lang, "s", len(t or "")) for d, t, lang in rows], SCHEMA)
+    kept = {r.doc_id: r.lang for r in corpus_pipeline.language_id(spark, docs, "").collect()}
+    assert set(kept) == {r[0] for r in rows if r[0] < 300} and kept[102] == "fr" and kept[104] is not None
