@@ -122,21 +122,32 @@ def _unpacked(frame: pd.DataFrame, types: dict[str, str]) -> dict[str, np.ndarra
     return {c: np.frombuffer(b"".join(frame[c]), t) for c, t in types.items()}
 
 
-_FOUND = {"gram": "<u8", "stretch": "<u8", "doc": "<i8", "start": "<i4", "more": "u1", "place": "u1"}
-_ASKED = {"gram": "<u8", "doc": "<i8", "start": "<i4", "more": "u1"}
-_PART = {"doc": "<i8", "start": "<i4", "size": "<i4"}
+#: A document is known by its id and a hash of its text, which tells apart those that share an id or have none.
+_FOUND = {"gram": "<u8", "stretch": "<u8", "doc": "<i8", "version": "<i8", "start": "<i4", "more": "u1", "place": "u1"}
+_ASKED = {"gram": "<u8", "doc": "<i8", "version": "<i8", "start": "<i4", "more": "u1"}
+_PART = {"doc": "<i8", "version": "<i8", "start": "<i4", "size": "<i4"}
 _FOUND_SCHEMA = "bucket int, kind int, " + ", ".join(f"{c} binary" for c in _FOUND)
-_REFINED_SCHEMA = "bucket int, kind int, gram binary, doc binary, start binary, more binary, size binary"
-_FETCHED_SCHEMA = "bucket int, kind int, gram binary, doc binary, start binary, more binary, body binary"
-_TEXTS_SCHEMA = "bucket int, doc binary, size binary, body binary, carried binary"
+_REFINED_SCHEMA = "bucket int, kind int, gram binary, doc binary, version binary, start binary, more binary, size binary"
+_FETCHED_SCHEMA = "bucket int, kind int, gram binary, doc binary, version binary, start binary, more binary, body binary"
+_TEXTS_SCHEMA = "bucket int, doc binary, version binary, size binary, body binary, carried binary"
 #: kinds of rows
 _STRETCH, _PARTLY, _REMOVED, _MARK, _FREQUENT = 0, 1, 2, 3, 4
 
 
-def _windows_of(batch: pa.RecordBatch, length: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """(bytes, valid window starts, offset of the document at each document, doc ids) of a slice; long texts in parts."""
+def _names(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Id and version of each document."""
+    docs = batch.column("doc_id").fill_null(int(_NO_ID)).to_numpy(zero_copy_only=False).astype("<i8")
+    return docs, batch.column("version").to_numpy(zero_copy_only=False).astype("<i8")
+
+
+def _bucket_of(doc: np.ndarray, version: np.ndarray, buckets: int) -> np.ndarray:
+    return mixed(doc.view("<u8") ^ mixed(version.view("<u8"))) % np.uint64(buckets)
+
+
+def _windows_of(batch: pa.RecordBatch, length: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """(bytes, valid window starts, offset of the document at each document, doc ids, versions) of a slice; long texts in parts."""
     data, ends = joined_bytes(batch.column("text"))
-    docs = batch.column("doc_id").fill_null(int(_NO_ID)).to_numpy(zero_copy_only=False)
+    docs, versions = _names(batch)
     sizes = np.diff(ends)
     if len(data) <= 2 * SLICE:
         valid = np.zeros(max(0, len(data) - length + 1), bool)
@@ -145,32 +156,37 @@ def _windows_of(batch: pa.RecordBatch, length: int) -> Iterator[tuple[np.ndarray
         np.add.at(marks, ends[:-1][some], 1)
         np.add.at(marks, ends[1:][some] - length + 1, -1)
         valid[:] = np.cumsum(marks)[:-1] > 0
-        yield data, valid, ends[:-1], docs
+        yield data, valid, ends[:-1], docs, versions
         return
     for a in range(0, len(data) - length + 1, SLICE):  # one long text: parts share length - 1 bytes
         part = data[a : a + SLICE + length - 1]
-        yield part, np.ones(len(part) - length + 1, bool), np.array([-a]), docs
+        yield part, np.ones(len(part) - length + 1, bool), np.array([-a]), docs, versions
+
+
+def _later(again: np.ndarray, doc: np.ndarray, version: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """Of sorted entries that are ``again`` what the one before is: those not at the very place of the first of them."""
+    head = np.maximum.accumulate(np.where(again, 0, np.arange(len(doc))))
+    return again & ((doc != doc[head]) | (version != version[head]) | (start != start[head]))
 
 
 def _find(length: int, buckets: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in text_slices([whole], most=SLICE):
-                for data, valid, at, docs in _windows_of(batch, length):
-                    yield from found(data, valid, at, docs)
+                for part in _windows_of(batch, length):
+                    yield from found(*part)
 
-    def found(data, valid, at, docs) -> Iterator[pa.RecordBatch]:
+    def found(data, valid, at, docs, versions) -> Iterator[pa.RecordBatch]:
         gram, stretch, start, more, place = anchors(data, valid, length)
         if not len(gram):
             return
         of = np.searchsorted(at, start, side="right") - 1
-        doc, start = docs[of], start - at[of]
-        order = np.lexsort((start, doc, stretch, gram))
-        gram, stretch, doc, start, more, place = (x[order] for x in (gram, stretch, doc, start, more, place))
+        doc, version, start = docs[of], versions[of], start - at[of]
+        order = np.lexsort((start, version, doc, stretch, gram))
+        gram, stretch, doc, version, start, more, place = (x[order] for x in (gram, stretch, doc, version, start, more, place))
         again = np.concatenate([[False], (gram[1:] == gram[:-1]) & (stretch[1:] == stretch[:-1])])
-        head = np.maximum.accumulate(np.where(again, 0, np.arange(len(gram))))
-        later = again & ((doc != doc[head]) | (start != start[head]))
-        columns = dict(zip(_FOUND, (x.astype(t) for x, t in zip((gram, stretch, doc, start, more, place), _FOUND.values()))))
+        later = _later(again, doc, version, start)
+        columns = dict(zip(_FOUND, (x.astype(t) for x, t in zip((gram, stretch, doc, version, start, more, place), _FOUND.values()))))
         first = {c: x[~again] for c, x in columns.items()}
         _, inverse, counts = np.unique(first["gram"], return_inverse=True, return_counts=True)
         many = counts[inverse] > FREQUENT_HERE
@@ -180,7 +196,7 @@ def _find(length: int, buckets: int):
         gone = {c: x[later] for c, x in columns.items()}
         for kind, bucket, some in (
             (_STRETCH, own[~many], {c: x[~many] for c, x in first.items()}), (_FREQUENT, own[many], {c: x[many] for c, x in first.items()}),
-            (_MARK, marked % np.uint64(buckets), marks), (_REMOVED, mixed(gone["doc"].view("<u8")) % np.uint64(buckets), gone),
+            (_MARK, marked % np.uint64(buckets), marks), (_REMOVED, _bucket_of(gone["doc"], gone["version"], buckets), gone),
         ):
             names, blobs = _blobs(bucket, some)
             if len(names):
@@ -193,8 +209,8 @@ def _find(length: int, buckets: int):
 
 
 def _by_document(kind: int, buckets: int, columns: dict[str, np.ndarray]) -> pd.DataFrame:
-    names, blobs = _blobs(mixed(columns["doc"].view("<u8")) % np.uint64(buckets), columns)
-    empty = {c: [b""] * len(names) for c in ("gram", "doc", "start", "more", "size")}
+    names, blobs = _blobs(_bucket_of(columns["doc"], columns["version"], buckets), columns)
+    empty = {c: [b""] * len(names) for c in ("gram", "doc", "version", "start", "more", "size")}
     return pd.DataFrame({"bucket": names.astype(np.int32), "kind": np.int32(kind)} | empty | blobs)
 
 
@@ -204,32 +220,32 @@ def _refine(length: int, buckets: int):
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         out = []
         local = _unpacked(frame[frame["kind"] == _REMOVED], _FOUND)
-        out.append((local["doc"], local["start"], local["more"]))
+        out.append((local["doc"], local["version"], local["start"], local["more"]))
         hot_grams = np.unique(_unpacked(frame[frame["kind"] == _MARK], {"gram": "<u8"})["gram"])
         asked = []
         for kind in (_STRETCH, _FREQUENT):
             x = _unpacked(frame[frame["kind"] == kind], _FOUND)
-            gram, stretch, doc, start, more = (x[c] for c in ("gram", "stretch", "doc", "start", "more"))
+            gram, stretch, doc, version, start, more = (x[c] for c in ("gram", "stretch", "doc", "version", "start", "more"))
             if not len(gram):
                 continue
-            order = np.lexsort((start, doc, stretch, gram))
-            gram, stretch, doc, start, more = (v[order] for v in (gram, stretch, doc, start, more))
+            order = np.lexsort((start, version, doc, stretch, gram))
+            gram, stretch, doc, version, start, more = (v[order] for v in (gram, stretch, doc, version, start, more))
             new_gram = np.concatenate([[True], gram[1:] != gram[:-1]])
             again = ~new_gram & np.concatenate([[False], stretch[1:] == stretch[:-1]])
-            head = np.maximum.accumulate(np.where(again, 0, np.arange(len(gram))))
-            later = again & ((doc != doc[head]) | (start != start[head]))
-            out.append((doc[later], start[later], more[later]))
+            later = _later(again, doc, version, start)
+            out.append((doc[later], version[later], start[later], more[later]))
             group = np.cumsum(new_gram) - 1
             different = np.bincount(group, weights=~again)[group]
             hot = np.full(len(gram), kind == _FREQUENT) | (different > FREQUENT) | np.isin(gram, hot_grams)
             want = ~again & ((different > 1) | hot)
-            asked.append((gram[want], doc[want], start[want], more[want], hot[want]))
-        doc, start, more = (np.concatenate(v) for v in zip(*out))
-        frames = [_by_document(_REMOVED, buckets, {"doc": doc, "start": start, "size": (more.astype("<i4") + length).astype("<i4")})]
+            asked.append((gram[want], doc[want], version[want], start[want], more[want], hot[want]))
+        doc, version, start, more = (np.concatenate(v) for v in zip(*out))
+        frames = [_by_document(_REMOVED, buckets, {
+            "doc": doc, "version": version, "start": start, "size": (more.astype("<i4") + length).astype("<i4")})]
         if asked:
-            gram, doc, start, more, hot = (np.concatenate(v) for v in zip(*asked))
+            gram, doc, version, start, more, hot = (np.concatenate(v) for v in zip(*asked))
             for kind, some in ((_PARTLY, ~hot), (_FREQUENT, hot)):
-                frames.append(_by_document(kind, buckets, dict(zip(_ASKED, (gram[some], doc[some], start[some], more[some])))))
+                frames.append(_by_document(kind, buckets, dict(zip(_ASKED, (gram[some], doc[some], version[some], start[some], more[some])))))
         return pd.concat(frames, ignore_index=True)
 
     return run
@@ -242,17 +258,17 @@ def _texts(buckets: int):
         press = zstandard.ZstdCompressor(level=1)
         for batch in text_slices(batches, most=2 * SLICE):
             data, ends = joined_bytes(batch.column("text"))
-            docs = batch.column("doc_id").fill_null(int(_NO_ID)).to_numpy(zero_copy_only=False).astype("<i8")
-            bucket = mixed(docs.view("<u8")) % np.uint64(buckets)
+            docs, versions = _names(batch)
+            bucket = _bucket_of(docs, versions, buckets)
             rows = []
             for b in np.unique(bucket):
                 own = np.flatnonzero(bucket == b)
                 body = b"".join(data[ends[i] : ends[i + 1]].tobytes() for i in own)
-                rows.append((int(b), docs[own].tobytes(), (ends[own + 1] - ends[own]).astype("<i8").tobytes(), press.compress(body),
-                             _packed_rows(batch, own) if batch.num_columns > 2 else None))
+                rows.append((int(b), docs[own].tobytes(), versions[own].tobytes(), (ends[own + 1] - ends[own]).astype("<i8").tobytes(), press.compress(body),
+                             _packed_rows(batch, own) if batch.num_columns > 3 else None))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(x, t) for x, t in zip(zip(*rows), (pa.int32(), *[pa.binary()] * 4))],
-                names=["bucket", "doc", "size", "body", "carried"],
+                [pa.array(x, t) for x, t in zip(zip(*rows), (pa.int32(), *[pa.binary()] * 5))],
+                names=["bucket", "doc", "version", "size", "body", "carried"],
             )
 
     return run
@@ -260,20 +276,27 @@ def _texts(buckets: int):
 
 def _packed_rows(batch: pa.RecordBatch, rows: np.ndarray) -> bytes:
     """The carried columns of some rows as a compressed Arrow stream."""
-    part = batch.select(list(range(2, batch.num_columns))).take(pa.array(rows))
+    part = batch.select(list(range(3, batch.num_columns))).take(pa.array(rows))
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, part.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
         out.write_batch(part)
     return sink.getvalue().to_pybytes()
 
 
-def _documents(frame: pd.DataFrame) -> Iterator[tuple[int, np.ndarray]]:
+def _documents(frame: pd.DataFrame) -> Iterator[tuple[int, int, np.ndarray]]:
     press = zstandard.ZstdDecompressor()
-    for docs, sizes, body in zip(frame["doc"], frame["size"], frame["body"]):
+    for docs, versions, sizes, body in zip(frame["doc"], frame["version"], frame["size"], frame["body"]):
         data = np.frombuffer(press.decompress(body), np.uint8) if len(body) else np.zeros(0, np.uint8)
         ends = np.concatenate([[0], np.cumsum(np.frombuffer(sizes, "<i8"))])
-        for n, doc in enumerate(np.frombuffer(docs, "<i8").tolist()):
-            yield doc, data[ends[n] : ends[n + 1]]
+        for n, (doc, version) in enumerate(zip(np.frombuffer(docs, "<i8").tolist(), np.frombuffer(versions, "<i8").tolist())):
+            yield doc, version, data[ends[n] : ends[n + 1]]
+
+
+def _rows_of(doc: np.ndarray, version: np.ndarray, d: int, v: int) -> tuple[int, int]:
+    """From and to where entries sorted by (doc, version) belong to one document."""
+    a, z = np.searchsorted(doc, d, side="left"), np.searchsorted(doc, d, side="right")
+    same = version[a:z]
+    return a + np.searchsorted(same, v, side="left"), a + np.searchsorted(same, v, side="right")
 
 
 def _fetch(length: int, buckets: int):
@@ -283,16 +306,16 @@ def _fetch(length: int, buckets: int):
         frames = []
         for kind in (_PARTLY, _FREQUENT):
             x = _unpacked(asked[asked["kind"] == kind], _ASKED)
-            order = np.argsort(x["doc"], kind="stable")
-            gram, doc, start, more = (x[c][order] for c in _ASKED)
+            order = np.lexsort((x["version"], x["doc"]))
+            gram, doc, version, start, more = (x[c][order] for c in _ASKED)
             bodies, who, hashes = [], [], []
             if len(doc):
-                for d, data in _documents(texts):
-                    a, z = np.searchsorted(doc, [d, d + 1]) if d != np.iinfo(np.int64).max else (np.searchsorted(doc, d), len(doc))
-                    own = np.arange(a, z)
-                    own = own[start[own].astype(np.int64) + more[own] + length <= len(data)]  # another text may have this id
-                    if not len(own):
+                seen = set()
+                for d, v, data in _documents(texts):
+                    own = np.arange(*_rows_of(doc, version, d, v))
+                    if not len(own) or (d, v) in seen:  # rows that are alike are asked once
                         continue
+                    seen.add((d, v))
                     who.append(own)
                     if kind == _PARTLY:
                         raw = data.tobytes()
@@ -314,16 +337,16 @@ def _fetch(length: int, buckets: int):
                     rows = own[part]
                     frames.append(pd.DataFrame({
                         "bucket": [bucket[part[0]]], "kind": np.int32(_PARTLY), "gram": [gram[rows].tobytes()], "doc": [doc[rows].tobytes()],
-                        "start": [start[rows].tobytes()], "more": [more[rows].tobytes()], "body": [b"".join(bodies[i] for i in part.tolist())],
+                        "version": [version[rows].tobytes()], "start": [start[rows].tobytes()], "more": [more[rows].tobytes()], "body": [b"".join(bodies[i] for i in part.tolist())],
                     }))
             else:
                 own, at, hashed = (np.concatenate(v) for v in zip(*hashes))
-                order = np.lexsort((at, doc[own], hashed, gram[own]))
+                order = np.lexsort((at, version[own], doc[own], hashed, gram[own]))
                 own, at, hashed = own[order], at[order], hashed[order]
                 names, blobs = _blobs(hashed % np.uint64(buckets), {
-                    "gram": gram[own], "doc": doc[own], "start": at.astype("<i4"), "body": hashed})
+                    "gram": gram[own], "doc": doc[own], "version": version[own], "start": at.astype("<i4"), "body": hashed})
                 frames.append(pd.DataFrame({"bucket": names.astype(np.int32), "kind": np.int32(_FREQUENT), "more": [b""] * len(names)} | blobs))
-        columns = ["bucket", "kind", "gram", "doc", "start", "more", "body"]
+        columns = ["bucket", "kind", "gram", "doc", "version", "start", "more", "body"]
         return pd.concat(frames, ignore_index=True)[columns] if frames else pd.DataFrame({c: [] for c in columns})
 
     return run
@@ -374,7 +397,7 @@ def _compare(length: int, buckets: int):
         out = []
         partly = frame[frame["kind"] == _PARTLY]
         if len(partly):
-            x = _unpacked(partly, {"gram": "<u8", "doc": "<i8", "start": "<i4", "more": "u1", "body": "u1"})
+            x = _unpacked(partly, {"gram": "<u8", "doc": "<i8", "version": "<i8", "start": "<i4", "more": "u1", "body": "u1"})
             size = x["more"].astype(np.int64) + length
             base = np.cumsum(size) - size
             order = np.argsort(x["gram"], kind="stable")
@@ -392,47 +415,51 @@ def _compare(length: int, buckets: int):
                 n = n - length + 1
                 inner = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
                 same = pointer[np.repeat(starts, n) + inner].astype(np.uint64)
-                doc, start = np.repeat(x["doc"][own], n), np.repeat(x["start"][own].astype(np.int64), n) + inner
                 several = np.bincount(pointer)[same.view(np.int64)] > 1
-                out.append((np.zeros(int(several.sum()), np.uint64), same[several], doc[several], start[several]))
+                doc, version = (np.repeat(x[c][own], n)[several] for c in ("doc", "version"))
+                start = (np.repeat(x["start"][own].astype(np.int64), n) + inner)[several]
+                out.append((np.zeros(len(doc), np.uint64), same[several], doc, version, start))
         hashed = frame[frame["kind"] == _FREQUENT]
         if len(hashed):
-            x = _unpacked(hashed, {"gram": "<u8", "body": "<u8", "doc": "<i8", "start": "<i4"})
-            out.append((x["gram"], x["body"], x["doc"], x["start"].astype(np.int64)))
+            x = _unpacked(hashed, {"gram": "<u8", "body": "<u8", "doc": "<i8", "version": "<i8", "start": "<i4"})
+            out.append((x["gram"], x["body"], x["doc"], x["version"], x["start"].astype(np.int64)))
         frames = []
-        for gram, same, doc, start in out:
-            order = np.lexsort((start, doc, same, gram))
-            gram, same, doc, start = gram[order], same[order], doc[order], start[order]
+        for gram, same, doc, version, start in out:
+            order = np.lexsort((start, version, doc, same, gram))
+            gram, same, doc, version, start = (v[order] for v in (gram, same, doc, version, start))
             again = np.concatenate([[False], (gram[1:] == gram[:-1]) & (same[1:] == same[:-1])])
-            head = np.maximum.accumulate(np.where(again, 0, np.arange(len(gram))))
-            later = again & ((doc != doc[head]) | (start != start[head]))
-            doc, start = doc[later], start[later]
-            order = np.lexsort((start, doc))
-            doc, start = doc[order], start[order]
+            later = _later(again, doc, version, start)
+            doc, version, start = doc[later], version[later], start[later]
+            order = np.lexsort((start, version, doc))
+            doc, version, start = doc[order], version[order], start[order]
             if len(doc):
-                first = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (start[1:] > start[:-1] + 1)]))
+                other = (doc[1:] != doc[:-1]) | (version[1:] != version[:-1])
+                first = np.flatnonzero(np.concatenate([[True], other | (start[1:] > start[:-1] + 1)]))
                 last = np.append(first[1:], len(doc)) - 1
                 frames.append(_by_document(_REMOVED, buckets, {
-                    "doc": doc[first], "start": start[first].astype("<i4"), "size": (start[last] - start[first] + length).astype("<i4")}))
+                    "doc": doc[first], "version": version[first], "start": start[first].astype("<i4"), "size": (start[last] - start[first] + length).astype("<i4")}))
         return pd.concat(frames, ignore_index=True) if frames else pd.DataFrame(
-            {c: [] for c in ("bucket", "kind", "gram", "doc", "start", "more", "size")})
+            {c: [] for c in ("bucket", "kind", "gram", "doc", "version", "start", "more", "size")})
 
     return run
 
 
-def _remove(as_text: bool):
+def _remove(length: int, as_text: bool):
     def run(texts: pa.Table, removed: pa.Table) -> pa.Table:
         x = _unpacked(removed.select(list(_PART)).to_pandas(), _PART)
-        order = np.argsort(x["doc"], kind="stable")
-        doc, start, size = (x[c][order].astype(np.int64) for c in _PART)
-        ids, sizes, spans, kept = [], [], [], []
-        for d, data in _documents(texts.select(["doc", "size", "body"]).to_pandas()):
-            a, z = np.searchsorted(doc, d, side="left"), np.searchsorted(doc, d, side="right")
+        order = np.lexsort((x["version"], x["doc"]))
+        doc, version, start, size = (x[c][order].astype(np.int64) for c in _PART)
+        ids, sizes, spans, kept, seen = [], [], [], [], set()
+        for d, v, data in _documents(texts.select(["doc", "version", "size", "body"]).to_pandas()):
+            a, z = _rows_of(doc, version, d, v)
             cover = np.zeros(len(data) + 1, np.int64)
             if z > a:
                 np.add.at(cover, np.minimum(start[a:z], len(data)), 1)
                 np.add.at(cover, np.minimum(start[a:z] + size[a:z], len(data)), -1)
             gone = np.cumsum(cover)[:-1] > 0
+            if d == _NO_ID:  # equal texts without an id are documents of their own: all but one repeat it entirely
+                gone |= v in seen and len(data) >= length
+                seen.add(v)
             edge = np.flatnonzero(np.diff(np.concatenate([[False], gone, [False]]).astype(np.int8)))
             ids.append(None if d == _NO_ID else d)
             sizes.append(len(data))
@@ -461,9 +488,10 @@ def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
     ``as_text``, kept is a string, and a character of which some bytes go goes whole. Earlier is a smaller doc_id, or a smaller start in the same
     document; matches never cross documents and are judged on the input. Null
     and empty texts have no bytes; shorter texts are kept. A null id comes
-    before all others. Rows that share an id are versions of one document: what
-    is removed at a place of one is removed there in all, and equal rows don't
-    repeat each other. An empty table stays empty.
+    before all others. Different texts that share an id, or have none, are
+    documents of their own, in the order of a hash of the text. Of equal texts
+    without an id one stays; rows with equal id and text are one document, and
+    don't repeat each other. An empty table stays empty.
 
     Texts are shuffled twice, compressed; anchors once. Buckets grow in number
     with the bytes of text, so each holds a bounded share; a q-gram that is in
@@ -471,21 +499,21 @@ def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
     """
     if not GRAM <= length <= GRAM + 255:
         raise ValueError(f"the length must be from {GRAM} to {GRAM + 255}")
-    keyed = keyed_texts(docs, id_col, text_col)
+    keyed = keyed_texts(docs, id_col, text_col).withColumn("version", F.xxhash64("text"))
     total = keyed.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     buckets = max(least, -(-total // BUCKET_BYTES))
     found = keyed.mapInArrow(_find(length, buckets), _FOUND_SCHEMA)
     refined = written(found.groupBy("bucket").applyInPandas(_refine(length, buckets), _REFINED_SCHEMA), "refined")
     id_and_text = [docs[id_col].cast("bigint").alias("doc_id"), F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text")]
-    with_carried = docs.select(*id_and_text, *[docs[c].alias(f"carried_{i}") for i, c in enumerate(carry)])
+    with_carried = docs.select(*id_and_text, F.xxhash64(F.coalesce(docs[text_col].cast("string"), F.lit(""))).alias("version"), *[docs[c].alias(f"carried_{i}") for i, c in enumerate(carry)])
     texts = keyed.mapInArrow(_texts(buckets), _TEXTS_SCHEMA)
     full_texts = with_carried.mapInArrow(_texts(buckets), _TEXTS_SCHEMA) if carry else texts
     kind = "string" if as_text else "binary"
     schema = StructType.fromDDL(f"doc_id bigint, n_bytes bigint, spans array<struct<start:bigint,end:bigint>>, kept {kind}")
-    schema = StructType([*schema.fields, *with_carried.schema.fields[2:]])
+    schema = StructType([*schema.fields, *with_carried.schema.fields[3:]])
     asked = refined.where(F.col("kind") != _REMOVED)
     fetched = texts.groupBy("bucket").cogroup(asked.groupBy("bucket")).applyInPandas(_fetch(length, buckets), _FETCHED_SCHEMA)
     compared = fetched.groupBy("bucket").applyInPandas(_compare(length, buckets), _REFINED_SCHEMA)
-    removed = refined.where(F.col("kind") == _REMOVED).unionByName(compared).select("bucket", "doc", "start", "size")
-    return full_texts.groupBy("bucket").cogroup(removed.groupBy("bucket")).applyInArrow(_remove(as_text), schema)
+    removed = refined.where(F.col("kind") == _REMOVED).unionByName(compared).select("bucket", "doc", "version", "start", "size")
+    return full_texts.groupBy("bucket").cogroup(removed.groupBy("bucket")).applyInArrow(_remove(length, as_text), schema)

@@ -245,6 +245,27 @@ def test_repeats_odd(odd, none):
     assert [len(r.kept) for r in rows if r.doc_id == 7] == [1] and repeats.remove_repeats(none, 100).collect() == []
 
 
+@pytest.mark.parametrize("frequent", [256, 0])
+def test_repeats_without_or_with_shared_ids(spark, monkeypatch, frequent):
+    monkeypatch.setattr(repeats, "FREQUENT", frequent)
+    rng = random.Random(12)
+    line = lambda n: "".join(rng.choice("abcdefgh é") for _ in range(n))
+    passage = line(150)
+    # The passage stands at another place in each text; at its place the others have bytes of their own.
+    texts = [line(40 * i) + passage + line(400) for i in range(12)]
+    rows = [(None, t) for t in texts[:6]] + [(7, t) for t in texts[6:9]] + [(8, t) for t in texts[9:]]
+    once = rows + [(None, line(300))] + [(9, line(300))]
+    docs = spark.createDataFrame(once + [once[-2]] * 2 + [once[-1]], "doc_id bigint, text string")
+    versions = {r.text: r.v for r in docs.selectExpr("text", "xxhash64(text) AS v").collect()}
+    ordered = sorted(once + [once[-2]] * 2, key=lambda r: (-1 if r[0] is None else r[0], versions[r[1]]))
+    want = plain.repeats(list(enumerate(t for _, t in ordered)))
+    want = [(d, *want[i]) for i, (d, _) in enumerate(ordered)]
+    want.append(next(w for w in want if w[0] == 9))  # an equal row of the same id is the same document
+    got = [(r.doc_id, r.n_bytes, r.n_bytes - len(r.kept), len(r.spans), plain.hashlib.sha256(bytes(r.kept)).hexdigest())
+           for r in repeats.remove_repeats(docs, 100).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
 def test_lattice_sums_over_all_segmentations():
     pieces = [b"a", b"b", b"ab", b"ba", b"aba", b"bb"]
     log_p = np.log(np.array([0.3, 0.2, 0.15, 0.15, 0.1, 0.1]))
