@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foldmark.llm import language, repeats, simhash
@@ -35,17 +35,22 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of near-duplicates: the one with the smallest doc_id; all without an id.
+    """Keeps one document of each group of near-duplicates: the one with the smallest doc_id, one without an id only if none has one.
 
-    Of rows that repeat an id one stays. The texts are shuffled once, by id.
+    Each row belongs to the group of its own text, whatever id it has. Of rows
+    with equal id and text one stays. The texts are shuffled once, by id and a
+    hash of the text.
     """
     docs = _source(spark, docs, sf_dir)
-    groups = simhash.near_duplicates(docs)
-    gone = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti")
-    once = Window.partitionBy("doc_id").orderBy("doc_id")
-    first = kept.where("doc_id is not null").withColumn("_nth", F.row_number().over(once)).where("_nth = 1")
-    return first.select(*docs.columns).unionByName(docs.where("doc_id is null"))
+    names = ["_id", "_text_1", "_text_2"]
+    chosen = written(simhash.representatives(docs).toDF(*names, "_copies"), "chosen")
+    keyed = docs.withColumns(dict(zip(["_own_id", "_own_1", "_own_2"], [F.col("doc_id").cast("bigint"), *simhash.text_keys(F.col("text"))])))
+    own = F.col("_own_id").eqNullSafe(F.col("_id")) & (F.col("_own_1") == F.col("_text_1")) & (F.col("_own_2") == F.col("_text_2"))
+    single = keyed.join(chosen.where("_copies = 1"), own).select(*docs.columns)
+    # Repeated rows meet as one per task, not all in one place.
+    repeated = keyed.join(chosen.where("_copies > 1"), own)
+    one = repeated.groupBy(*names).agg(F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias("_row"))
+    return single.unionByName(one.select("_row.*"))
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import written
@@ -204,3 +204,35 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, seed: int = 42, id_col: s
     # Written, so that the last join has plain shuffles at both sides and a fingerprint of very many documents is split.
     ids = written(ids, "classes")
     return prints.join(ids, "fingerprint").select("doc_id", "fingerprint", "component_id")
+
+
+def text_keys(text: Column) -> list[Column]:
+    """A 128-bit hash of a text (null: empty), as two longs."""
+    text = F.coalesce(text.cast("string"), F.lit(""))
+    return [F.xxhash64(text), F.xxhash64(F.lit(1), text)]
+
+
+def representatives(docs: DataFrame, shingle: int = 3, seed: int = 42, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, text_1 and text_2 (see ``text_keys``) of one document of each component, and how many rows are the same there.
+
+    It is the one with the smallest doc_id, null after all others, and of those
+    the one with the smallest hash. Rows that repeat an id count each by its own text.
+    """
+    first, second = text_keys(docs[text_col])
+    rows = docs.select(docs[id_col].cast("bigint").alias("doc_id"), F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"),
+                       first.alias("text_1"), second.alias("text_2"))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_slices(batches):
+            found = np.array([fingerprint(t, shingle, seed) for t in raw_texts(batch.column("text"))], np.uint64)
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in ("doc_id", "text_1", "text_2")), pa.array(found.view(np.int64))],
+                names=["doc_id", "text_1", "text_2", "fingerprint"])
+
+    prints = rows.mapInArrow(run, "doc_id bigint, text_1 bigint, text_2 bigint, fingerprint bigint")
+    alike = prints.groupBy("fingerprint", "doc_id", "text_1", "text_2").agg(F.count(F.lit(1)).alias("copies"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_1", "text_2", "copies"))
+    nodes = written(alike.groupBy("fingerprint").agg(first.alias("first")), "nodes")
+    roots = written(components(links(nodes)), "roots")
+    rooted = nodes.join(roots, nodes["fingerprint"] == roots["node"], "left").select("first", F.coalesce("root", "fingerprint").alias("root"))
+    return rooted.groupBy("root").agg(F.min("first").alias("first")).select(*[f"first.{c}" for c in ("doc_id", "text_1", "text_2", "copies")])

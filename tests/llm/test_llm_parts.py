@@ -10,6 +10,7 @@ import plain
 import public_tokenizers as tokenizers_files
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from foldmark.llm import bpe, graph_search, hamming, language, licenses, lm_score, packing, repeats, simhash, tokens, urls
@@ -406,3 +407,14 @@ def test_pipeline_keeps_short_texts(spark):
     docs = spark.createDataFrame([(d, t, lang, "s", len(t or "")) for d, t, lang in rows], SCHEMA)
     kept = {r.doc_id: r.lang for r in corpus_pipeline.language_id(spark, docs, "").collect()}
     assert set(kept) == {r[0] for r in rows if r[0] < 300} and kept[102] == "fr" and kept[104] is not None
+
+
+def test_pipeline_keeps_one_of_each_group(spark):
+    rng = random.Random(13)
+    t, u, v, w, x = (" ".join(rng.choice("abcdefgh") * rng.randrange(1, 9) for _ in range(60)) for _ in range(5))
+    rows = [(1, t), (5, t), (5, u), (6, v), (6, w), (6, w), (None, t), (None, w), (None, x), (None, x), (None, v.upper()), (9, None), (None, "")]
+    docs = spark.createDataFrame([(d, a, "en", "s", i) for i, (d, a) in enumerate(rows)], SCHEMA)
+    want = [(1, t), (5, u), (6, v), (6, w), (None, x), (9, None)]
+    for part in (docs, docs.orderBy(F.desc("n_chars"))):
+        kept = corpus_pipeline.simhash_dedup(spark, part, "")
+        assert kept.columns == docs.columns and sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(want, key=str)
