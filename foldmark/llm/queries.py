@@ -1,4 +1,4 @@
-"""The ten operators applied to their whole tables, with production parameters."""
+"""The operators applied to their whole tables, with production parameters."""
 
 from __future__ import annotations
 
@@ -9,11 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import written
-from . import bpe, graph_search, hamming, language, licenses, lm_score, packing, repeats, simhash, tokens, urls
+from . import alignment, bpe, graph_search, hamming, language, licenses, lm_score, negatives, packing, quantised, repeats, simhash, tokens, urls
 from .license_rules import default_rules, phrase_rules
 
 CAPACITY, END_ID, TOKENIZER = 4096, 1, "word_bpe_49k.json"
-RANKS, PIECES = "byte_bpe_multi_50k.tiktoken", "piece_bpe_32k.model"
+RANKS, PIECES, JSON = "byte_bpe_multi_50k.tiktoken", "piece_bpe_32k.model", "byte_bpe_50k.json"
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 HOST_RULES = (
     ("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"),
@@ -106,7 +106,25 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (language.crc_fold(F.col("doc_id"), 3) == 1).alias("held_out"), "lang_pred", "score", "coverage")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings")
+    rows = rows.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return negatives.hard_negatives(rows, F.col("vec_id") % 100 == 0)
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    first, second = public_tokenizers.path(JSON), public_tokenizers.path(PIECES)
+    found = alignment.aligned(_table(spark, sf_dir, "documents"), first, second, public_tokenizers.PATTERN)
+    digest = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("").alias("groups_sha256")
+    slim = written(found.select(*[c for c in found.columns if c != "groups"], digest), "aligned")
+    return alignment.align_documents(slim, alignment.vocabulary_size(second), "groups_sha256")
+
+
+def op13_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quantised.near_duplicates(_table(spark, sf_dir, "embeddings"), 0.9)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_license_scan, op2_exact_topk, op3_url_filter, op4_best_fit_packing, op5_simhash_dedup, op6_byte_bpe, op7_suffix_dedup,
-    op8_lattice_lm, op9_graph_ann, op10_language_id,
+    op8_lattice_lm, op9_graph_ann, op10_language_id, op11_hard_negatives, op12_token_alignment, op13_embedding_dedup,
 )}
