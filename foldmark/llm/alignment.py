@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -179,7 +180,7 @@ class Slice:
     @staticmethod
     def _flat(ids: list[list[int]], table: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         at = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int64)
-        flat = np.fromiter((i for x in ids for i in x), np.int64, at[-1])
+        flat = np.fromiter(chain.from_iterable(ids), np.int64, at[-1])
         sizes = np.diff(joined_bytes(table)[1])
         return flat, at, np.concatenate([[0], np.cumsum(sizes[flat])])
 
