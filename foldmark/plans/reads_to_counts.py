@@ -20,7 +20,7 @@ def reads_to_counts(mates1: DataFrame, mates2: DataFrame | None, library: DataFr
     barcode and is antisense to the design. Mates that don't overlap are both
     carried on; the second has its tag from the first. Alignments below
     ``min_quality``, as of reads that fit two designs alike, aren't counted.
-    Reads are found up to a number of edits that grows with their length (see
+    Reads are found up to a score limit that grows with their length (see
     align_reads).
     Every stage is lazy; a long run should write the alignments and go on from
     that table.

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from ..operators import joins as J
 from ..operators.align import align_reads
-from ..operators.index import build_index
 from ..plans import analysis as A
 from ..session import fresh_path, written
 from ..sinks import bundle as B
@@ -189,15 +188,20 @@ def norm_report(spark, sf):
     return a.norm_val.select("cond_idx", F.format_string("%.4f", "norm_val").alias("norm_val"))
 
 
-@query("j08_align_reads", f"""WITH {_ALN} SELECT read_id, true AS found FROM aln WHERE length(seq) >= 15""")
+_BUILT = "CASE kind WHEN 'tail' THEN 0 WHEN 'one' THEN -3 ELSE -6 END"
+
+
+@query("j08_align_reads", f"""WITH {_ALN}
+SELECT read_id, CAST({_BUILT} AS INT) AS built, true AS scored, true AS at_source FROM aln WHERE seq <> ''""")
 def align(spark, sf):
-    """Each read is found where it was taken from, or where it fits at least as well."""
+    """Every read, by the default limit: scored as it was built or better, and, if one design alone fits it so, on its own."""
     built = F.when(F.col("kind") == "tail", 0).when(F.col("kind") == "one", -3).otherwise(-6)
     path = fresh_path(spark, "align")
-    _alignments(spark, sf).select("read_id", F.lit("all").alias("tag"), "seq", built.alias("built")).write.parquet(f"{path}/reads")
+    _alignments(spark, sf).where("seq <> ''").select(
+        "read_id", F.lit("all").alias("tag"), "seq", "ref", "pos", "cigar", built.alias("built")).write.parquet(path)
+    reads = spark.read.parquet(path)
     lib = V.documents(spark, sf).select("design_idx", (F.col("design_idx") - 1).cast("string").alias("name"), "sequence")
-    build_index(lib.withColumn("sequence", F.translate("sequence", "U", "T")), 15).write.parquet(f"{path}/index")
-    reads = spark.read.parquet(f"{path}/reads")
-    best = align_reads(reads, lib, max_edits=2, k=15, index=spark.read.parquet(f"{path}/index"))
-    return best.join(reads.select("read_id", "built"), "read_id").select(
-        "read_id", (F.col("score") >= F.col("built")).alias("found"))
+    best = align_reads(reads.select("read_id", "tag", "seq"), lib).select("read_id", "score", "mapq", F.col("ref").alias("on"))
+    own = (F.col("score") > F.col("built")) | (F.col("mapq") == 0) | (F.col("on") == F.col("ref"))
+    return reads.join(best, "read_id", "left").select(
+        "read_id", "built", F.coalesce(F.col("score") >= F.col("built"), F.lit(False)).alias("scored"), F.coalesce(own, F.lit(False)).alias("at_source"))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..fixed_values import MUT_TYPES
@@ -122,19 +125,23 @@ def tag_from_name(spark, sf):
 
 
 def _profile_arrays(spark, sf):
-    c = V.counts(spark, sf).where("tag = 'A'")
-    m = J.to_arrays(c.where("measure = 'GA'"), ["design_idx"], "n", 7).withColumnRenamed("n", "m")
-    cov = J.to_arrays(c.where("measure = 'coverage'"), ["design_idx"], "n", 7).withColumnRenamed("n", "c")
+    """A block for every design, tag and mutation type."""
+    c = V.counts(spark, sf)
+    m = J.to_arrays(c.where("measure <> 'coverage'"), ["design_idx", "tag", "measure"], "n", 7).withColumnRenamed("n", "m")
+    cov = J.to_arrays(c.where("measure = 'coverage'"), ["design_idx", "tag"], "n", 7).withColumnRenamed("n", "c")
     zeros = F.array_repeat(F.lit(0).cast("bigint"), 7)
-    lib = V.part_library(spark, sf).join(m, "design_idx", "left").join(cov, "design_idx", "left")
+    kinds = F.explode(F.array(*map(F.lit, MUT_TYPES)))
+    lib = V.part_library(spark, sf).withColumn("tag", F.explode(F.array(*map(F.lit, "ANR")))).withColumn("measure", kinds)
+    lib = lib.join(m, ["design_idx", "tag", "measure"], "left").join(cov, ["design_idx", "tag"], "left")
     return lib.withColumns({"m": F.coalesce("m", zeros), "c": F.coalesce("c", zeros)})
 
 
-_BLOCKS = f"""WITH {V.COV}, {V.RC}, {V.PARTS} SELECT design_idx, CAST(g.p AS INT) AS pos, sequence,
+_BLOCKS = f"""WITH {V.COV}, {V.RC}, {V.PARTS} SELECT design_idx, CAST(g.p AS INT) AS pos, tag, measure, sequence,
   coalesce(rc.n, 0) AS m, coalesce(cov.c, 0) AS c
-FROM parts CROSS JOIN generate_series(1, 7) AS g(p)
-LEFT JOIN rc ON rc.d = design_idx AND rc.p = g.p AND rc.t = 'A' AND rc.k = 'GA'
-LEFT JOIN cov ON cov.d = design_idx AND cov.p = g.p AND cov.t = 'A'"""
+FROM parts CROSS JOIN generate_series(1, 7) AS g(p) CROSS JOIN (VALUES ('A'), ('N'), ('R')) AS t(tag)
+CROSS JOIN (SELECT unnest({V._TYPE_LIST}) AS measure)
+LEFT JOIN rc ON rc.d = design_idx AND rc.p = g.p AND rc.t = tag AND rc.k = measure
+LEFT JOIN cov ON cov.d = design_idx AND cov.p = g.p AND cov.t = tag"""
 
 
 @query("s08_scan_count_blocks", _BLOCKS)
@@ -143,37 +150,44 @@ def scan_count_blocks(spark, sf):
         return F.array_join(F.transform(c, lambda x: x.cast("string")), ",")
 
     path = fresh_path(spark, "blocks")
-    _profile_arrays(spark, sf).orderBy("design_idx").select(F.concat_ws(
-        "\n", X.design_key(F.col("header")), "sequence", csv("m"), csv("c"), F.lit("")).alias("value")).write.text(path)
+    name = F.concat_ws("/", X.design_key(F.col("header")), "tag", "measure")
+    _profile_arrays(spark, sf).select(F.concat_ws("\n", name, "sequence", csv("m"), csv("c"), F.lit("")).alias("value")).write.text(path)
     out = tables.read_count_blocks(spark, path)
-    return out.select("design_idx", "sequence", F.posexplode(F.arrays_zip("m", "c")).alias("i", "x")).select(
-        "design_idx", (F.col("i") + 1).alias("pos"), "sequence", "x.m", "x.c")
+    part = F.split("name", "/")
+    return out.select(part[0].alias("name"), part[1].alias("tag"), part[2].alias("measure"), "sequence",
+                      F.posexplode(F.arrays_zip("m", "c")).alias("i", "x")).select(
+        (F.col("name").cast("bigint") + 1).alias("design_idx"), (F.col("i") + 1).alias("pos"), "tag", "measure", "sequence", "x.m", "x.c")
 
 
-_RAW_BLOCKS = f"""WITH {V.RC} SELECT d AS design_idx, p AS pos, k AS measure, n FROM rc WHERE t = 'R'"""
+_RAW_BLOCKS = f"""WITH {V.RC} SELECT d AS design_idx, p AS pos, t AS tag, k AS measure, n FROM rc"""
 
 
 def _raw_blocks(spark, sf):
-    """Raw count blocks, in key order rather than library order, of the designs that have any."""
-    cells = J.to_arrays(V.counts(spark, sf).where("tag = 'R' AND measure <> 'coverage'"), ["design_idx", "measure"], "n", 7)
-    per = cells.groupBy("design_idx").agg(F.map_from_entries(F.collect_list(F.struct("measure", "n"))).alias("by"))
+    """(tag, blocks) of each tag's raw count blocks, in key order rather than library order, of the designs that have any."""
+    cells = J.to_arrays(V.counts(spark, sf).where("measure <> 'coverage'"), ["design_idx", "tag", "measure"], "n", 7)
+    per = cells.groupBy("design_idx", "tag").agg(F.map_from_entries(F.collect_list(F.struct("measure", "n"))).alias("by"))
     zeros = F.array_repeat(F.lit(0).cast("bigint"), 7)
     lines = [F.concat(F.lit(f"{t} "), F.array_join(F.transform(
         F.coalesce(F.try_element_at("by", F.lit(t)), zeros), lambda x: x.cast("string")), ",")) for t in MUT_TYPES]
     named = per.join(V.part_library(spark, sf), "design_idx")
     path = fresh_path(spark, "raw-blocks")
-    named.select(F.concat_ws("\n", X.design_key(F.col("header")), *lines, F.lit("")).alias("value")).write.text(path)
-    return tables.read_raw_count_blocks(spark, path)
+    named.select("tag", F.concat_ws("\n", X.design_key(F.col("header")), *lines, F.lit("")).alias("value")).write.partitionBy("tag").text(path)
+    return [(t, tables.read_raw_count_blocks(spark, f"{path}/tag={t}")) for t in "ANR"]
+
+
+def _tagged(frames):
+    return reduce(DataFrame.unionByName, [df.withColumn("tag", F.lit(t)) for t, df in frames])
 
 
 @query("s09_scan_raw_count_blocks", _RAW_BLOCKS.replace("d AS design_idx", "CAST(d - 1 AS VARCHAR) AS name"))
 def scan_raw_blocks(spark, sf):
-    return J.to_long(_raw_blocks(spark, sf), ["name", "measure"], "n")
+    return J.to_long(_tagged(_raw_blocks(spark, sf)), ["name", "tag", "measure"], "n")
 
 
 @query("j02_join_design_key", _RAW_BLOCKS)
 def join_design_key(spark, sf):
-    return J.blocks_on_library(V.part_library(spark, sf), _raw_blocks(spark, sf))
+    lib = V.part_library(spark, sf)
+    return _tagged([(t, J.blocks_on_library(lib, df)) for t, df in _raw_blocks(spark, sf)])
 
 
 @query("j02_zero_fill", """SELECT d.doc_id + 1 AS design_idx, coalesce(l.quality, 0) AS quality, coalesce(l.toxic, 0) AS toxic
@@ -565,10 +579,9 @@ def base_quality(spark, sf):
 
 
 @query("a23_dedup_umi", f"""WITH {_ALN}, u AS (SELECT *, substr(seq, 1, 4) AS umi FROM aln)
-SELECT ref, CAST(pos // 1000 AS INT) AS pos, flag & 16 <> 0 AS strand, umi, min(read_id) AS read_id FROM u GROUP BY ref, pos // 1000, flag & 16 <> 0, umi""")
+SELECT ref, pos, flag & 16 <> 0 AS strand, umi, min(read_id) AS read_id FROM u GROUP BY ref, pos, flag & 16 <> 0, umi""")
 def dedup(spark, sf):
-    a = _alignments(spark, sf).select("read_id", "ref", F.floor(F.col("pos") / 1000).cast("int").alias("pos"), "flag",
-                                      F.substring("seq", 1, 4).alias("umi"))
+    a = _alignments(spark, sf).select("read_id", "ref", F.col("pos").cast("int").alias("pos"), "flag", F.substring("seq", 1, 4).alias("umi"))
     return D.dedup_umi(a).select("ref", "pos", (F.col("flag").bitwiseAND(16) != 0).alias("strand"), "umi", "read_id")
 
 

@@ -348,10 +348,10 @@ def rate_reaggregate(spark, sf):
     return V.rounded(out.drop("coverage"), "rate")
 
 
-@query("a13_renormalize", _NORMED.replace("FROM pass)", "FROM pass WHERE k % (CASE WHEN n > 150 THEN n // 150 ELSE 1 END) = 0)"))
+@query("a13_renormalize", _NORMED)
 def renormalize(spark, sf):
     a = _settled(spark, sf)
-    out = G.renormalize(a, G.denormalized(a), max_sequences=150).reactivity.drop("seq_len")
+    out = G.renormalize(a, G.denormalized(a)).reactivity.drop("seq_len")
     return V.rounded(out, "r", "r_err", "r_nomod")
 
 

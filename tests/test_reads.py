@@ -6,7 +6,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from foldmark.operators.align import _glocal, align_reads
+from foldmark.operators.align import _glocal, align_reads, seed_candidates, worst_penalty
+from foldmark.operators.index import build_index
 from foldmark.operators.pairs import merge_pairs
 from foldmark.operators.pileup import pileup
 from foldmark.plans.reads_to_counts import reads_to_counts
@@ -111,20 +112,62 @@ def test_every_read_within_the_edit_limit_is_found(spark):
         assert got[k].ref == ref and got[k].score >= score
 
 
-@pytest.mark.parametrize("k, most", [(12, 5), (8, 9)])
-def test_edit_limit_grows_with_the_read(spark, k, most):
+def best_places(read, designs):
+    """Score and the designs that have it, by the full comparison with every design."""
+    scores = [x[0] for x in _glocal([read] * len(designs), [d[2] for d in designs])]
+    return max(scores), [d[1] for d, x in zip(designs, scores) if x == max(scores)]
+
+
+@pytest.mark.parametrize("strands, letters", [(("+",), 1 << 20), (("+", "-"), 0)])
+def test_every_read_within_the_score_limit_is_found(spark, strands, letters):
     rng = random.Random(12)
-    designs = [(i + 1, f"d{i}", rand_seq(rng, 90)) for i in range(40)]
+    designs = [(i + 1, f"d{i}", "GGAACGACTCGAG" + rand_seq(rng, 70) + "AAAGAAACAACAAC") for i in range(40)]
+    designs += [(41, "twin", designs[3][2]), (42, "short", rand_seq(rng, 15))]
     reads = []
-    for n in range(120):
-        d, edits = rng.choice(designs), rng.randint(0, most)
-        s = list(d[2][5:85])
-        for i in rng.sample(range(80), edits):
-            s[i] = rng.choice([c for c in "ACGT" if c != s[i]])
-        reads.append((f"{d[1]}_{n}", "t", "".join(s)))
+    for n in range(400):
+        d = rng.choice(designs)
+        size = rng.choice([8, 9, 10, 11, 12, 15, 20, 40, 80])
+        at = rng.randrange(max(1, len(d[2]) - size))
+        s = list(d[2][at : at + size])
+        for _ in range(rng.randint(0, max(1, len(s) // 6))):
+            kind, i = rng.random(), rng.randrange(len(s))
+            if kind < 0.7:
+                s[i] = rng.choice("ACGTN")
+            elif kind < 0.85:
+                del s[i : i + rng.randint(1, 4)]
+            else:
+                s[i:i] = rand_seq(rng, rng.randint(1, 4))
+            s = s or ["A"]
+        s = "".join(s)
+        reads.append((f"r{n}", "t", rc(s) if "-" in strands and n % 2 else s))
+    reads += [(f"junk{n}", "t", rand_seq(rng, 60)) for n in range(10)] + [("empty", "t", ""), ("none", "t", None)]
+    library = spark.createDataFrame(designs, "design_idx bigint, name string, sequence string")
     df = spark.createDataFrame(reads, "read_id string, tag string, seq string")
-    got = {r.read_id: r.ref for r in align_reads(df, spark.createDataFrame(designs, "design_idx bigint, name string, sequence string"), k=k).collect()}
-    assert got == {r[0]: r[0].split("_")[0] for r in reads}
+    got = {r.read_id: r for r in align_reads(df, library, strands=strands, broadcast_letters=letters).collect()}
+    found = 0
+    for read_id, _, s in reads:
+        both = [s, rc(s)] if s and "-" in strands else [s]
+        places = [best_places(x, designs) for x in both if x]
+        score = max((x for x, _ in places), default=-1000)
+        names = [name for x, some in places if x == score for name in some]
+        if -score > worst_penalty(len(s or "")):
+            assert read_id not in got
+            continue
+        found += 1
+        row = got[read_id]
+        assert row.score == score and row.ref in names
+        if len(both) == 1:
+            assert row.ref == names[0] and row.mapq == (42 if len(names) == 1 else 0)
+    assert found >= 300
+
+
+def test_shared_ends_are_no_seeds(spark):
+    rng = random.Random(5)
+    designs = [(i + 1, f"d{i}", "GGGAACGACTCGAGTAGAGTCGAAAA" + rand_seq(rng, 69) + "AAAGAAACAACAACAACAAC") for i in range(2_000)]
+    library = spark.createDataFrame(designs, "design_idx bigint, name string, sequence string")
+    reads = spark.createDataFrame([(f"r{n}", rng.choice(designs)[2]) for n in range(100)], "read_id string, seq string")
+    seeds = seed_candidates(reads, build_index(library, 12), 2_000, 12, ("+",)).collect()
+    assert sum(len({p.design_idx for p in r.places}) for r in seeds) < 150 and all(4 <= r.usable <= 7 for r in seeds)
 
 
 def test_merge_pairs_with_errors(spark):
