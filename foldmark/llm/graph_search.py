@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import written
 
 #: Rows of a shard, queries of a block, edges of a node, beam widths, and how much pruning is relaxed.
-SHARD_ROWS, BLOCK_QUERIES, EDGES, BUILD_BEAM, SEARCH_BEAM, RELAXED = 12_288, 4_096, 40, 72, 128, 1.2
+SHARD_ROWS, BLOCK_QUERIES, EDGES, BUILD_BEAM, SEARCH_BEAM, RELAXED = 12_288, 4_096, 40, 72, 160, 1.2
+#: Largest ratio of two lengths in a shard: the component that makes lengths equal stays small beside them.
+BAND = 1.1
 #: Nodes that a query opens in one step.
 OPENED = 4
 
@@ -217,14 +219,16 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id",
             shard_rows: int = SHARD_ROWS, beam: int = SEARCH_BEAM) -> DataFrame:
     """The k nearest rows found for every query by inner product: query_id, rank, vec_id, score.
 
-    Every row is indexed. Shards have a bounded number of rows, dealt by a hash
-    of the id; each is a graph of its distinct vectors, written once, and
+    Every row is indexed. Shards have a bounded number of rows of similar length
+    (within a tenth), dealt by a hash of the id; each is a graph of its distinct vectors, written once, and
     queries come to it in blocks, so neither side is gathered. Scores are exact,
     in double precision; ties go to the smaller id; a query's own id is no
     candidate. Null, zero and non-finite vectors, null ids, and vectors of
     another size than most have take no part. Ids are taken to be unique; rows
     that repeat an id with the same vector count once. Fewer rows than k give fewer.
     """
+    spark = rows.sparkSession
+
     def taken(df: DataFrame, name: str) -> DataFrame:
         return df.select(df[id_col].cast("bigint").alias(name), df[vector_col].cast("array<double>").alias("vector")).where(F.col(name).isNotNull())
 
@@ -232,15 +236,25 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id",
     size = sizes.agg(F.max_by("size", F.struct("count", "size"))).first()[0] or 0
     every = taken(rows, "vec_id").where(sound(F.col("vector"), F.lit(size))).dropDuplicates()
     asked = taken(queries, "query_id").where(sound(F.col("vector"), F.lit(size))).dropDuplicates()
-    shards, blocks = max(1, -(-every.count() // shard_rows)), max(1, -(-asked.count() // BLOCK_QUERIES))
-    every = every.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int"))
+    blocks = max(1, -(-asked.count() // BLOCK_QUERIES))
+    # Shards of similar length. Bands are few (all doubles make 15 000), and so are their counts.
+    largest = F.array_max(F.transform("vector", F.abs))
+    log = F.log(largest) + F.log(F.aggregate("vector", F.lit(0.0), lambda s, x: s + (x / F.col("largest")) * (x / F.col("largest")))) / 2
+    every = every.withColumn("largest", largest).withColumn("band", F.floor(log / float(np.log(BAND)) + 0.5).cast("int")).drop("largest")
+    bands = every.groupBy("band").count().orderBy("band").collect()
+    sizes = [max(1, -(-n // shard_rows)) for _, n in bands]
+    firsts = np.concatenate([[0], np.cumsum(sizes)]).astype(int).tolist()
+    table = spark.createDataFrame([(b, f, n) for (b, _), f, n in zip(bands, firsts, sizes)], "band int, first int, parts int")
+    own = F.col("first") + F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int")
+    every = every.join(F.broadcast(table), "band").select("vec_id", "vector", own.alias("shard"))
+    shards = max(1, firsts[-1])
     index = written(every.groupBy("shard").applyInPandas(_index_shard(k), _INDEX), "graph")
     index = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     asked = asked.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int"))
     asked = asked.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
     near = index.groupBy("shard", "block").cogroup(asked.groupBy("shard", "block")).applyInPandas(
         _search_shard(k, beam), "query_id bigint, vec_id bigint, score double")
-    ranked = F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("order"), "vec_id", "score")))
-    best = near.groupBy("query_id").agg(F.slice(ranked, 1, k).alias("best"))
-    return best.select("query_id", F.posexplode("best").alias("at", "hit")).select(
-        "query_id", (F.col("at") + 1).cast("int").alias("rank"), F.col("hit.vec_id").alias("vec_id"), F.col("hit.score").alias("score"))
+    # Every task sends on k rows for each query, whatever the number of shards.
+    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    ranked = near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

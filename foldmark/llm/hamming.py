@@ -6,12 +6,14 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: A code is cut into so many segments of 16 bits.
 SEGMENTS, SEGMENT_BITS = 4, 16
 SHARD_ROWS, BLOCK_QUERIES = 65_536, 8_192
+#: Pairs of query and code that are verified together.
+MOST_HITS = 2_000_000
 
 RESULT = "query_id bigint, vec_id bigint, distance bigint"
 
@@ -60,12 +62,24 @@ class Index:
 
 
 def search(index: Index, weights: np.ndarray, queries: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query, code, distance) with, for each query, at least all codes up to its k-th nearest row.
+    """(query, code, distance) with, for each query, all codes up to its k-th nearest row.
 
-    ``weights`` says how many rows a code stands for. After radius r every code
-    within SEGMENTS * (r + 1) - 1 bits has been verified: it differs by at most
-    r bits in some segment. A query is done once that covers its k-th row. A
-    code is verified only where it is met first, so none is counted twice.
+    ``weights`` says how many rows a code stands for. Queries go in groups for
+    which all codes would fit: where most codes share a segment, each query
+    meets nearly all of them at once.
+    """
+    step = max(1, MOST_HITS // max(1, len(index.codes)))
+    parts = [_search_some(index, weights, queries[a : a + step], k) for a in range(0, len(queries), step)]
+    if not parts:
+        return (np.zeros(0, np.int64),) * 3
+    who = np.concatenate([w + i * step for i, (w, _, _) in enumerate(parts)])
+    return who, *(np.concatenate([p[c] for p in parts]) for c in (1, 2))
+
+
+def _search_some(index: Index, weights: np.ndarray, queries: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """After radius r every code within SEGMENTS * (r + 1) - 1 bits has been verified: it differs by at most r bits in
+    some segment. A query is done once that covers its k-th row. A code is verified only where it is met first, so none
+    is counted twice, and what lies behind the k-th row is left out.
     """
     open_, out = np.arange(len(queries)), []
     counts = np.zeros((len(queries), 64 + 2), np.int64)
@@ -75,7 +89,7 @@ def search(index: Index, weights: np.ndarray, queries: np.ndarray, k: int) -> tu
         masks = flips(radius)
         own = segments(queries[open_])
         for s in range(SEGMENTS):
-            step = max(1, 2_000_000 // len(masks))
+            step = max(1, MOST_HITS // len(masks))
             for a in range(0, len(open_), step):
                 values = (own[a : a + step, s][:, None] ^ masks[None, :]).ravel()
                 who, code = index.at(s, values)
@@ -89,6 +103,9 @@ def search(index: Index, weights: np.ndarray, queries: np.ndarray, k: int) -> tu
         covered = SEGMENTS * (radius + 1) - 1
         open_ = open_[counts[open_, : covered + 1].sum(axis=1) < k]
     found = np.concatenate(out) if out else np.zeros((0, 3), np.int64)
+    upto = np.cumsum(counts, axis=1) >= k
+    last = np.where(upto[:, -1], upto.argmax(axis=1), counts.shape[1])
+    found = found[found[:, 2] <= last[found[:, 0]]]
     return found[:, 0], found[:, 1], found[:, 2]
 
 
@@ -144,8 +161,7 @@ def top_k(codes: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id",
     rows = rows.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int")).withColumn("block", pieces(blocks))
     asked = asked.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int")).withColumn("shard", pieces(shards))
     near = rows.groupBy("shard", "block").cogroup(asked.groupBy("shard", "block")).applyInPandas(_shard_search(k), RESULT)
-    best = near.groupBy("query_id").agg(F.slice(F.array_sort(F.collect_list(F.struct("distance", "vec_id"))), 1, k).alias("best"))
-    return best.select("query_id", F.posexplode("best").alias("at", "hit")).select(
-        "query_id", (F.col("at") + 1).cast("int").alias("rank"), F.col("hit.vec_id").alias("vec_id"),
-        F.col("hit.distance").alias("distance"),
-    )
+    # Every task sends on k rows for each query, whatever the number of shards.
+    order = Window.partitionBy("query_id").orderBy("distance", "vec_id")
+    ranked = near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "distance")

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,7 +22,7 @@ UNKNOWN = "und"
 
 # ASCII letters are lower-cased, other ASCII becomes a blank, bytes of other characters stay.
 _FOLD = np.array([c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256)], np.uint8)
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 _MULTIPLIERS = np.random.Generator(np.random.PCG64(10)).integers(1 << 40, 1 << 63, HASHES, np.uint64) | np.uint64(1)
 
 

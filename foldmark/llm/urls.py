@@ -17,6 +17,8 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _SEPARATOR = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: More rules than this are joined by a shuffle instead of being shipped.
 SHIPPED_RULES = 100_000
+#: Copies of a repeated row that are rebuilt together.
+PART_COPIES = 10_000
 
 
 @dataclass(frozen=True)
@@ -129,6 +131,10 @@ def judge_urls(pages: DataFrame, rules: Sequence[UrlRule], id_col: str = "page_i
         tried.select("page_id", "url", "copies", "host", "path", best.alias("best"))
         .groupBy("page_id", "url").agg(F.min("best").alias("best"), *[F.first(c).alias(c) for c in ("copies", "host", "path")])
     )
-    return judged.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(
+    # A row that repeats very often comes back in parts, dealt out before they are rebuilt.
+    parts = judged.withColumn("part", F.explode(F.sequence(F.lit(0), F.floor((F.col("copies") - 1) / PART_COPIES).cast("int"))))
+    size = F.least(F.lit(PART_COPIES), F.col("copies") - F.col("part") * PART_COPIES).cast("int")
+    dealt = parts.withColumn("size", size).repartition("page_id", "host", "part")
+    return dealt.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("size")))).select(
         "page_id", "host", "path", F.col("best.rule").alias("rule"), F.col("best.verdict").alias("verdict")
     )

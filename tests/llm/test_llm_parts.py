@@ -418,3 +418,58 @@ def test_pipeline_keeps_one_of_each_group(spark):
     for part in (docs, docs.orderBy(F.desc("n_chars"))):
         kept = corpus_pipeline.simhash_dedup(spark, part, "")
         assert kept.columns == docs.columns and sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(want, key=str)
+
+
+def test_signs_that_are_no_letters_have_no_language(spark):
+    docs = spark.createDataFrame([(1, "½ ² ³ ① 123"), (2, "the house and the garden"), (3, None)], "doc_id bigint, text string")
+    taught = spark.createDataFrame([("the house and the garden are here", "en"), ("das haus und der garten sind hier", "de")], "text string, lang string")
+    got = {r.doc_id: (r.lang_pred, r.score) for r in language.identify(docs, language.fit(taught)).collect()}
+    assert got[1] == got[3] == ("und", 0.0) and got[2][0] == "en"
+
+
+def test_search_where_nearly_all_codes_share_a_segment(monkeypatch):
+    monkeypatch.setattr(hamming, "MOST_HITS", 5_000)
+    rng = np.random.default_rng(2)
+    codes = np.unique(rng.integers(0, 1 << 48, 3_000, np.uint64) << np.uint64(16) | np.uint64(77))
+    queries = codes[::100]
+    who, at, distance = hamming.search(hamming.Index(codes), np.ones(len(codes), np.int64), queries, 10)
+    for q in range(len(queries)):
+        all_ = np.bitwise_count(queries[q] ^ codes).astype(np.int64)
+        kth = np.sort(all_)[9]
+        want = np.flatnonzero(all_ <= kth)
+        assert sorted(at[who == q].tolist()) == want.tolist() and (distance[who == q] <= kth).all()
+
+
+def test_rows_that_repeat_very_often_come_back(spark):
+    pages = spark.range(25_001).select(F.lit(None).cast("bigint").alias("page_id"), F.lit(None).cast("string").alias("url"))
+    pages = pages.union(spark.createDataFrame([(1, "http://a.net/es/x")], "page_id bigint, url string"))
+    got = urls.judge_urls(pages, [urls.host_rule("net", "/es/", "block")]).groupBy("page_id", "host", "path", "rule").count().collect()
+    assert sorted(map(tuple, got), key=str) == [(1, "a.net", "/es/x", "net/es/", 1), (None, "", "", None, 25_001)]
+
+
+def test_nearest_of_vectors_of_unequal_lengths(spark):
+    rng = np.random.default_rng(6)
+    vectors = rng.normal(size=(3_000, 64)) * rng.choice([1, 1, 1, 30, 1e-3], size=(3_000, 1))
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id bigint, embedding array<double>")
+    got = {}
+    for r in graph_search.nearest(rows, rows.where("vec_id % 20 = 0"), 20).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = 0
+    for q, found in got.items():
+        product = vectors @ vectors[q]
+        product[q] = -np.inf
+        hits += len(found & set(np.argsort(-product)[:20].tolist()))
+    assert len(got) == 150 and hits >= 0.95 * 20 * 150
+
+
+def test_pipeline_columns_of_any_name(spark):
+    rows = [(i, f"text {i} of the house and the garden where many people live and work together " * (3 if i % 2 else 9), "en", "web", 10, i, i, None, i, i, i) for i in range(12)]
+    names = ["doc_id", "text", "lang", "source", "n_chars", "_id", "_found", "_null", "_own_id", "a.b", "row"]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint, "
+                                 "_id bigint, _found bigint, _null bigint, _own_id bigint, `a.b` bigint, row bigint")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, "")
+        assert out.columns == names
+        got = out.collect()
+        assert got and all(r["_id"] == r["_found"] == r["_own_id"] == r["a.b"] == r["row"] == r.doc_id and r["_null"] is None for r in got)
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, "").count() == 12
