@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foldmark.llm import language, repeats, simhash
@@ -20,6 +20,16 @@ def _source(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet") if docs is None else docs
 
 
+def _packed(docs: DataFrame) -> Column:
+    """All columns of a row as one, so that no name of theirs can clash with a stage's own."""
+    return F.struct(*[F.col(f"`{c.replace('`', '``')}`") for c in docs.columns]).alias("row")
+
+
+def _unpacked(df: DataFrame, columns: list[str], **changed: Column) -> DataFrame:
+    """The columns again, some of them changed."""
+    return df.select(*[changed.get(c, F.col("row").getField(c)).alias(c) for c in columns])
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents written in a language that the labelled ones teach; a null ``lang`` becomes the language found.
 
@@ -28,10 +38,10 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     pass where they are read.
     """
     docs = _source(spark, docs, sf_dir)
-    found = docs.select(*docs.columns, language.predicted(F.col("text"), language.fit(labelled(docs)), spark).alias("_found"))
-    foreign = (F.col("_found.n_grams") >= LEAST_GRAMS) & (F.col("_found.coverage") < LEAST_COVERAGE)
-    kept = found.where((F.col("_found.lang_pred") != language.UNKNOWN) & ~foreign)
-    return kept.withColumn("lang", F.coalesce("lang", F.col("_found.lang_pred"))).select(*docs.columns)
+    found = docs.select(_packed(docs), language.predicted(F.col("text"), language.fit(labelled(docs)), spark).alias("found"))
+    foreign = (F.col("found.n_grams") >= LEAST_GRAMS) & (F.col("found.coverage") < LEAST_COVERAGE)
+    kept = found.where((F.col("found.lang_pred") != language.UNKNOWN) & ~foreign)
+    return _unpacked(kept, docs.columns, lang=F.coalesce("row.lang", "found.lang_pred"))
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,15 +52,16 @@ def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     hash of the text.
     """
     docs = _source(spark, docs, sf_dir)
-    names = ["_id", "_text_1", "_text_2"]
-    chosen = written(simhash.representatives(docs).toDF(*names, "_copies"), "chosen")
-    keyed = docs.withColumns(dict(zip(["_own_id", "_own_1", "_own_2"], [F.col("doc_id").cast("bigint"), *simhash.text_keys(F.col("text"))])))
-    own = F.col("_own_id").eqNullSafe(F.col("_id")) & (F.col("_own_1") == F.col("_text_1")) & (F.col("_own_2") == F.col("_text_2"))
-    single = keyed.join(chosen.where("_copies = 1"), own).select(*docs.columns)
+    names = ["id", "text_1", "text_2"]
+    chosen = written(simhash.representatives(docs).toDF(*names, "copies"), "chosen")
+    own = dict(zip(["own_id", "own_1", "own_2"], [F.col("doc_id").cast("bigint"), *simhash.text_keys(F.col("text"))]))
+    keyed = docs.select(_packed(docs), *[x.alias(name) for name, x in own.items()])
+    same = F.col("own_id").eqNullSafe(F.col("id")) & (F.col("own_1") == F.col("text_1")) & (F.col("own_2") == F.col("text_2"))
+    single = keyed.join(chosen.where("copies = 1"), same).select("row")
     # Repeated rows meet as one per task, not all in one place.
-    repeated = keyed.join(chosen.where("_copies > 1"), own)
-    one = repeated.groupBy(*names).agg(F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias("_row"))
-    return single.unionByName(one.select("_row.*"))
+    repeated = keyed.join(chosen.where("copies > 1"), same)
+    one = repeated.groupBy(*names).agg(F.min_by("row", F.xxhash64("row")).alias("row")).select("row")
+    return _unpacked(single.unionByName(one), docs.columns)
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,14 +71,11 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     a document of which nothing is left stays as an empty one.
     """
     docs = _source(spark, docs, sf_dir)
-    marked = docs.withColumn("_null", F.col("text").isNull())
-    others = [c for c in marked.columns if c not in ("doc_id", "text")]
-    left = repeats.remove_repeats(marked, 100, carry=others, as_text=True)
-    left = left.select("doc_id", "spans", "kept", *[F.col(f"carried_{i}").alias(c) for i, c in enumerate(others)])
-
-    left = left.withColumn("text", F.when(~F.col("_null"), F.col("kept")))
-    size = F.when(F.size("spans") > 0, F.length("text").cast("bigint")).otherwise(F.col("n_chars"))
-    return left.withColumn("n_chars", size).select(*docs.columns)
+    rows = docs.select("doc_id", "text", _packed(docs.drop("text")))
+    left = repeats.remove_repeats(rows.withColumn("none", F.col("text").isNull()), 100, carry=["row", "none"], as_text=True)
+    left = left.select("spans", F.col("carried_0").alias("row"), F.when(~F.col("carried_1"), F.col("kept")).alias("kept"))
+    size = F.when(F.size("spans") > 0, F.length("kept").cast("bigint")).otherwise(F.col("row.n_chars"))
+    return _unpacked(left, docs.columns, text=F.col("kept"), n_chars=size)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
