@@ -23,7 +23,6 @@ HEADLINE = (
     "j06_join_read_barcode",
     "j09_merge_pairs",
     "a21_pileup",
-    "j08_align_reads",
 )
 
 
