@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..fixed_values import (
     COVERAGE, FIVE_PRIME_ENDS, NORM_CUTOFFS, NORM_MIN_HITS, THREE_PRIME_ENDS,
 )
-from .ordinals import BUCKET, nearest_rank
+from .ordinals import dense_ordinal, nearest_rank
 
 
 def coverage_by_tag(counts: DataFrame) -> DataFrame:
@@ -41,38 +41,16 @@ def normalization_set(totals: DataFrame, max_sequences: int | None = None,
                       cutoffs=NORM_CUTOFFS, min_hits: int = NORM_MIN_HITS) -> DataFrame:
     """Designs used to normalize: all above the cutoff; with ``max_sequences``, every stride-th when there are many.
 
-    Designs are cut into ranges of ordinals. One row per range, with its hits
-    for every cutoff, is all that meets in one task: it settles the cutoff, the
-    stride and each range's first rank. With ``max_sequences`` the result has
-    fewer than twice as many rows.
+    Only passing designs are numbered, and only with ``max_sequences``; the
+    result then has fewer than twice as many rows.
     """
+    passing = passing_designs(totals, cutoffs, min_hits).select("design_idx", "total_coverage")
     if max_sequences is None:
-        return passing_designs(totals, cutoffs, min_hits).select("design_idx", "total_coverage")
-    levels = [*cutoffs, -1]
-    ranged = totals.withColumn("_range", F.floor(F.col("design_idx") / F.lit(BUCKET)).cast("bigint"))
-    hits = ranged.groupBy("_range").agg(*[
-        F.count_if(F.col("total_coverage") > c).alias(f"_h{i}") for i, c in enumerate(levels)
-    ])
-    every = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    choice = F.lit(len(cutoffs))
-    for i in reversed(range(len(cutoffs))):
-        choice = F.when(F.sum(f"_h{i}").over(every) >= min_hits, F.lit(i)).otherwise(choice)
-    chosen = hits.withColumn("_choice", choice).select(
-        "_range", F.get(F.array(*map(F.lit, levels)), F.col("_choice")).alias("_cutoff"),
-        F.get(F.array(*[f"_h{i}" for i in range(len(levels))]), F.col("_choice")).alias("_k"),
-    ).select(
-        "_range", "_cutoff", F.coalesce(F.sum("_k").over(before), F.lit(0)).alias("_offset"),
-        F.sum("_k").over(every).alias("_n"),
-    )
-    stride = F.when(F.col("_n") > max_sequences, F.floor(F.col("_n") / max_sequences)).otherwise(1).cast("bigint")
-    inside = Window.partitionBy("_range").orderBy("design_idx")
-    return (
-        ranged.join(chosen, "_range").where(F.col("total_coverage") > F.col("_cutoff"))
-        .withColumn("_rank", F.col("_offset") + F.row_number().over(inside))
-        .where(F.col("_rank") % stride == 0)
-        .select("design_idx", "total_coverage")
-    )
+        return passing
+    ranked = dense_ordinal(passing, "design_idx", "_rank")
+    n = ranked.agg(F.count(F.lit(1)).alias("n")).scalar()
+    stride = F.when(n > max_sequences, F.floor(n / max_sequences)).otherwise(1).cast("bigint")
+    return ranked.where(F.col("_rank") % stride == 0).drop("_rank")
 
 
 def blank_ends(rows: DataFrame, blank5: int, blank3: int, columns: list[str]) -> DataFrame:

@@ -4,31 +4,39 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import reduce
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKET = 1 << 16
+from ..session import written
 
+# monotonically_increasing_id holds the partition above this bit, the row's place in it below.
+_PLACE_BITS = 33
 
-def dense_ordinal(df: DataFrame, key: str, name: str, bucket: int = BUCKET) -> DataFrame:
-    """Number rows 1..n in the order of a unique integer ``key``.
 
-    Keys are cut into ranges of ``bucket`` values. Only the per-range counts
-    (n / bucket rows) meet in one task; rows are ranked inside their range,
-    which holds at most ``bucket`` of them.
+def dense_ordinal(df: DataFrame, key: str, name: str, bucket: int | None = None) -> DataFrame:
+    """Number rows 1..n in the order of a unique integer ``key``, however sparse its values are.
+
+    Rows are range-partitioned by the key, sorted inside each partition and
+    written once with their place in it. The partitions' sizes are all that
+    leaves the tasks (one number per shuffle partition), so no window runs and
+    no list of keys meets in one task. With ``bucket``, partitions hold about
+    that many rows in place of the session's number of partitions.
     """
-    keyed = df.withColumn("_range", F.floor(F.col(key) / F.lit(bucket)).cast("bigint"))
-    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = keyed.groupBy("_range").count().select(
-        "_range", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_offset")
-    )
-    inside = Window.partitionBy("_range").orderBy(key)
-    return (
-        keyed.join(offsets, "_range")
-        .withColumn(name, (F.col("_offset") + F.row_number().over(inside)).cast("bigint"))
-        .drop("_range", "_offset")
-    )
+    spark = df.sparkSession
+    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if bucket is not None:
+        ranges = max(1, -(-df.count() // bucket))
+    placed = written(
+        df.repartitionByRange(ranges, key).sortWithinPartitions(key).withColumn("_place", F.monotonically_increasing_id()),
+        "ordinals",
+    ).withColumn("_part", F.shiftright("_place", _PLACE_BITS))
+    sizes = sorted(placed.groupBy("_part").count().collect())
+    starts = [(part, before) for (part, _), before in zip(sizes, accumulate((n for _, n in sizes), initial=0))]
+    offsets = F.broadcast(spark.createDataFrame(starts, "_part bigint, _offset bigint"))
+    place = F.col("_place").bitwiseAND((1 << _PLACE_BITS) - 1)
+    return placed.join(offsets, "_part").withColumn(name, F.col("_offset") + place + 1).drop("_part", "_place", "_offset")
 
 
 def rank_position(n: Column, num: int = 9, den: int = 10) -> Column:

@@ -16,14 +16,13 @@ def check_alphabet(library: DataFrame) -> DataFrame:
 def repeated_values(library: DataFrame, column: str = "sequence") -> DataFrame:
     """Every occurrence of a value after its first, with its 1-based ordinal among non-blank ones.
 
-    First occurrences are found by one aggregation and subtracted from the
-    rows, so a value most rows share is never gathered in one place: the rows
-    keep to their own partitions and only the first ordinals (one per
-    value) are compared with them by design.
+    First occurrences are found by one aggregation over the numbered rows and
+    subtracted from them, so a value most rows share is never gathered in one
+    place: only the first ordinals (one per value) are compared by design.
     """
     rows = library.where(F.length(column) > 0).select("design_idx", column)
-    firsts = rows.groupBy(column).agg(F.min("design_idx").alias("design_idx")).select("design_idx")
     numbered = dense_ordinal(rows, "design_idx", "ordinal")
+    firsts = numbered.groupBy(column).agg(F.min("design_idx").alias("design_idx")).select("design_idx")
     return numbered.join(firsts, "design_idx", "left_anti").select("design_idx", "ordinal", column)
 
 

@@ -272,3 +272,20 @@ def test_padding_and_revcomp(spark):
     assert df.select(X.pad_zeros(F.col("a"), F.lit(4))).first()[0] == [1, 2, 0, 0]
     s = spark.createDataFrame([("AACGU",)], "s string")
     assert s.select(X.reverse_complement(F.col("s"))).first()[0] == "ACGTT"
+
+
+def test_dense_ordinal_of_sparse_keys_runs_no_window(spark):
+    keys = sorted({(i * 0x9E3779B97F4A7C15 + 11) % (1 << 63) - (1 << 62) for i in range(20_000)})
+    df = spark.createDataFrame([(k, "x" * (k % 3)) for k in keys], "k bigint, x string").repartition(5)
+    out = O.dense_ordinal(df, "k", "o")
+    assert [tuple(r) for r in out.select("k", "o").orderBy("k").collect()] == [(k, i + 1) for i, k in enumerate(keys)]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "SinglePartition" not in plan
+    assert O.dense_ordinal(df.limit(0), "k", "o").count() == 0
+
+
+def test_stride_over_sparse_designs(spark):
+    totals = spark.createDataFrame([(i * 10**12 + 5, 20_000 if i % 3 else 7) for i in range(90)], "design_idx bigint, total_coverage bigint")
+    passing = [i * 10**12 + 5 for i in range(90) if i % 3]
+    assert [r[0] for r in N.normalization_set(totals, 20).orderBy("design_idx").collect()] == passing[2::3]
+    assert N.normalization_set(totals, 60).count() == 60
