@@ -23,6 +23,23 @@ def position_rates(counts: DataFrame) -> DataFrame:
     )
 
 
+def rate_matrix(counts: DataFrame) -> DataFrame:
+    """Per (pos, tag, measure): the rates of all mutation types wherever there is coverage, zeros included.
+
+    Unlike ``position_rates``, every type has a row, so that rates of several
+    tags or sets can be re-aggregated: a type nobody counted still has its
+    coverage. The counter's own total is there where it was counted. One
+    aggregation with partial sums; what is left is positions x tags.
+    """
+    measures = [COVERAGE, *MUT_TYPES, MUTS]
+    cells = counts.groupBy("pos", "tag").agg(*[F.sum(F.when(F.col("measure") == m, F.col("n"))).alias(m) for m in measures])
+    sums = [(t, F.coalesce(F.col(t), F.lit(0))) for t in MUT_TYPES] + [(MUTS, F.col(MUTS))]
+    each = F.explode(F.array(*[F.struct(F.lit(t).alias("measure"), n.cast("bigint").alias("n")) for t, n in sums]))
+    return cells.where(F.col(COVERAGE).isNotNull()).select("pos", "tag", COVERAGE, each.alias("x")).where("x.n IS NOT NULL").select(
+        "pos", "tag", "x.measure", ratio(F.col("x.n"), F.col(COVERAGE)).alias("rate"), COVERAGE
+    )
+
+
 def coverage_by_position(counts: DataFrame) -> DataFrame:
     return counts.where(F.col("measure") == COVERAGE).groupBy("pos", "tag").agg(F.sum("n").alias("coverage"))
 

@@ -29,6 +29,7 @@ class ReactivityOptions:
     no_GA: bool = False
     only_GA: bool = False
     only_AG: bool = False
+    totals_only: bool = False
 
     @property
     def mismatches(self) -> tuple[str, ...]:

@@ -4,7 +4,7 @@ import importlib
 
 from .registry import ORACLES, QUERIES
 
-MODULES = ("core", "sets", "reads", "outputs")
+MODULES = ("core", "sets", "reads", "outputs", "experiments")
 
 
 def _load():

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import replace
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import __version__
@@ -163,3 +163,28 @@ def write_entries(lines: DataFrame, path: str) -> None:
     lines.repartitionByRange("chunk", "section", "design_idx").sortWithinPartitions(
         "chunk", "section", "design_idx"
     ).select("chunk", "value").write.partitionBy("chunk").text(path)
+
+
+def write_counts_table(counts: DataFrame, path: str) -> None:
+    """Sparse counts as Parquet under ``tag=/measure=`` folders.
+
+    Files hold ranges of designs and are sorted, so that a range of designs is
+    found by their statistics. A hot tag is split like any other range.
+    """
+    keys = ["tag", "measure", "design_idx", "pos"]
+    cells = counts.select("tag", "measure", F.col("design_idx").cast("bigint"), F.col("pos").cast("int"), F.col("n").cast("bigint"))
+    cells.repartitionByRange(*keys).sortWithinPartitions(*keys).write.partitionBy("tag", "measure").parquet(path)
+
+
+def read_counts_table(spark: SparkSession, path: str, tags: list[str] | None = None, measures: list[str] | None = None,
+                      first: int | None = None, last: int | None = None) -> DataFrame:
+    """Counts of ``write_counts_table``; tags and measures choose folders, a design range prunes row groups."""
+    counts = spark.read.schema("design_idx bigint, pos int, n bigint, tag string, measure string").parquet(path)
+    for column, wanted in (("tag", tags), ("measure", measures)):
+        if wanted is not None:
+            counts = counts.where(F.col(column).isin(wanted))
+    if first is not None:
+        counts = counts.where(F.col("design_idx") >= first)
+    if last is not None:
+        counts = counts.where(F.col("design_idx") <= last)
+    return counts.select("design_idx", "pos", "tag", "measure", "n")
