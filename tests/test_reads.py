@@ -2,6 +2,8 @@
 
 import gzip
 import random
+import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -45,6 +47,69 @@ def test_pileup_by_hand(spark):
     assert loose[(1, 4, "AC")] == 1 and loose[(1, 5, "AC")] == 1
 
 
+def plain_pileup(alignments, refs, collapse, least):
+    """Counts letter by letter, by the rules in pileup's docstring."""
+    out = Counter()
+    for ref_name, pos, cigar, seq, qual in alignments:
+        design, ref = refs[ref_name]
+        i, j, muts, blocks = 0, pos - 1, [], re.findall(r"(\d+)([MIDNSHP=X])", cigar)
+        for b, (size, op) in enumerate(blocks):
+            size = int(size)
+            if op in "M=X":
+                for x in range(size):
+                    if seq[i + x] != ref[j + x]:
+                        muts.append((j + x, j + x, ref[j + x] + seq[i + x]))
+                    if ord(qual[i + x]) - 33 >= least:
+                        out[design, j + x + 1, "coverage"] += 1
+            if op == "D":
+                room, shift = int(blocks[b + 1][0]) if b + 1 < len(blocks) else 0, 0
+                while shift < room and ref[j + shift] == ref[j + shift + size]:
+                    shift += 1
+                muts.append((j + shift, j + shift + size - 1, "del"))
+                for x in range(size):
+                    out[design, j + x + 1, "coverage"] += 1
+            if op == "I":
+                out[design, j, "ins"] += 1
+            i += size * (op in "MIS=X")
+            j += size * (op in "MDN=X")
+        begins = {m[0] for m in muts}
+        for _, last, kind in muts:
+            if "N" not in kind and not (collapse and last + 1 in begins):
+                out[design, last + 1, kind] += 1
+    return {k: n for k, n in out.items() if n}
+
+
+def test_pileup_against_letter_by_letter(spark):
+    rng = random.Random(21)
+    refs = {f"d{i}": (i, "".join(rng.choice("ACGT") * rng.randint(1, 4) for _ in range(40))) for i in range(1, 6)}
+    aln = []
+    for _ in range(400):
+        name = rng.choice(["d1", "d1", *refs])          # one design holds a large share
+        ref = refs[name][1]
+        pos, cigar, seq = rng.randint(1, 20), [], ""
+        j = pos - 1
+        for op in rng.choice(["M", "MDM", "MIM", "SMDMIM", "M=XM", "MDDM", "MNM", "HMIDM", "MDMDMS"]):
+            size = rng.randint(1, 3) if op in "DIXNH" else rng.randint(1, 9)
+            cigar.append(f"{size}{op}")
+            if op in "M=X":
+                seq += "".join(c if rng.random() < 0.8 else rng.choice("ACGTN") for c in ref[j:j + size])
+            elif op in "IS":
+                seq += rand_seq(rng, size)
+            j += size * (op in "MDN=X")
+        aln.append((name, pos, "".join(cigar), seq, "".join(rng.choice("#5I") for _ in seq)))
+    lib = spark.createDataFrame([(i, n, s.replace("T", "U")) for n, (i, s) in refs.items()], "design_idx bigint, name string, sequence string")
+    rows = [(f"r{k}", "t", *a) for k, a in enumerate(aln)]
+    rows += [("x1", "t", "d1", None, "3M", "ACG", "III"), ("x2", "t", "d1", 1, None, "ACG", "III"), ("x3", "t", "d1", 1, "3M", None, None),
+             ("x4", "t", "d1", 1, "", "", ""), ("x5", "t", "unknown", 1, "3M", "ACG", "III")]
+    df = spark.createDataFrame(rows, "read_id string, tag string, ref string, pos int, cigar string, seq string, qual string")
+    for collapse, least, letters in [(True, 0, 1 << 20), (False, 0, 0), (True, 20, 1 << 20)]:
+        got = {(r.design_idx, r.pos, r.measure): r.n for r in pileup(df, lib, collapse, min_base_quality=least, broadcast_letters=letters).collect()}
+        assert got == plain_pileup(aln, refs, collapse, least)
+    plan = pileup(df, lib)._jdf.queryExecution().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert pileup(df.limit(0), lib).count() == 0 and pileup(df, lib.limit(0)).count() == 0
+
+
 def slow_score(read, ref):
     n, w, low = len(read), len(ref), -10**6
     h = [[0] * (w + 1)] + [[low] * (w + 1) for _ in range(n)]
