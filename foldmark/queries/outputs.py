@@ -7,7 +7,8 @@ from dataclasses import replace
 from pyspark.sql import functions as F
 
 from ..operators import joins as J
-from ..operators.align import align_reads
+from ..functions import text as X
+from ..operators.align import align_pairs, align_reads
 from ..plans import analysis as A
 from ..session import fresh_path, written
 from ..sinks import bundle as B
@@ -205,3 +206,29 @@ def align(spark, sf):
     own = (F.col("score") > F.col("built")) | (F.col("mapq") == 0) | (F.col("on") == F.col("ref"))
     return reads.join(best, "read_id", "left").select(
         "read_id", "built", F.coalesce(F.col("score") >= F.col("built"), F.lit(False)).alias("scored"), F.coalesce(own, F.lit(False)).alias("at_source"))
+
+
+@query("j08_align_pairs", f"""WITH {V.LIB}, dna AS (SELECT design_idx, replace(sequence, 'U', 'T') AS dna FROM lib WHERE sequence <> ''),
+frags AS (SELECT design_idx, k, substr(dna, CAST(200 * k + 1 AS INT), 200) AS frag FROM (SELECT *, unnest(generate_series(0, (length(dna) - 1) // 200)) AS k FROM dna)),
+mates AS (SELECT design_idx || '_' || k AS read_id, substr(frag, 1, 60) AS a, substr(frag, CAST(greatest(length(frag) - 59, 1) AS INT)) AS b FROM frags WHERE length(frag) >= 60),
+kinds AS (SELECT DISTINCT a, b FROM mates),
+hits AS (SELECT a, b, design_idx, len(list_filter(generate_series(1, length(dna)), lambda i:
+    substr(dna, CAST(i AS INT), length(a)) = a AND strpos(substr(dna, CAST(i AS INT), 800), b) > 0)) AS n FROM kinds JOIN dna ON contains(dna, a) AND contains(dna, b)),
+fits AS (SELECT a, b, min(design_idx) AS first FROM hits WHERE n > 0 GROUP BY a, b)
+SELECT read_id, CAST(first - 1 AS VARCHAR) AS ref, CAST(0 AS BIGINT) AS score
+FROM mates JOIN fits USING (a, b)""")
+def align_mates(spark, sf):
+    """Ends of fragments of 200 letters: each pair on the first design that has both.
+
+    mapq is not compared: it is 0 for some pairs whose mates are ambiguous alone although one design has both (see align_pairs).
+    """
+    lib = V.documents(spark, sf).select("design_idx", (F.col("design_idx") - 1).cast("string").alias("name"), "sequence").where("sequence <> ''")
+    frags = lib.select("design_idx", X.to_dna(F.col("sequence")).alias("dna"), F.explode(
+        F.sequence(F.lit(0), F.floor((F.length("sequence") - 1) / 200).cast("int"))).alias("k")).select(
+        F.concat_ws("_", F.col("design_idx").cast("string"), F.col("k").cast("string")).alias("read_id"),
+        F.substring("dna", F.col("k") * 200 + 1, F.lit(200)).alias("frag")).where(F.length("frag") >= 60)
+    path = fresh_path(spark, "mates")
+    frags.select("read_id", F.lit("all").alias("tag"), F.substring("frag", 1, 60).alias("seq"),
+                 F.substring("frag", F.length("frag") - 59, F.lit(60)).alias("mate_seq")).write.parquet(path)
+    placed = align_pairs(spark.read.parquet(path), lib).where(F.col("flag").bitwiseAND(2) != 0)
+    return placed.groupBy("read_id").agg(F.max("ref").alias("ref"), F.sum("score").alias("score"))

@@ -8,7 +8,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from foldmark.operators.align import _glocal, align_reads, seed_candidates, worst_penalty
+from foldmark.operators.align import _glocal, align_pairs, align_reads, seed_candidates, worst_penalty
 from foldmark.operators.index import build_index
 from foldmark.operators.pairs import merge_pairs
 from foldmark.operators.pileup import pileup
@@ -150,6 +150,75 @@ def test_gapped_comparison_against_plain_recurrence():
         assert total == score and i == len(read)
 
 
+def plain_pairs(pairs, designs, max_insert):
+    """(pair: best sum, designs that have it, first of them) by comparing every mate with every design and every window."""
+    out = {}
+    for name, a, b in pairs:
+        found = {}
+        for d, ref in designs.items():
+            limit_a, limit_b = -worst_penalty(len(a)), -worst_penalty(len(b))
+            places = []
+            for read, limit in ((a, limit_a), (b, limit_b)):
+                score, start, cigar, _ = _glocal([read], [ref])[0]
+                places.append((score, start, start + sum(int(n) for n, op in re.findall(r"(\d+)([MD])", cigar))) if score >= limit else None)
+            fits = []
+            if all(places) and places[0][1] <= places[1][1] and max(places[0][2], places[1][2]) - places[0][1] <= max_insert:
+                fits.append(places[0][0] + places[1][0])
+            elif places[0] or places[1]:
+                if places[0]:
+                    x = _glocal([b], [ref[places[0][1]:places[0][1] + max_insert]])[0]
+                    fits += [x[0] + places[0][0]] if x[0] >= limit_b else []
+                if places[1]:
+                    low = max(places[1][2] - max_insert, 0)
+                    x = _glocal([a], [ref[low:places[1][1] + len(a) - limit_a - 5][:max_insert]])[0]
+                    fits += [x[0] + places[1][0]] if x[0] >= limit_a and low + x[1] <= places[1][1] else []
+            if fits:
+                found[d] = max(fits)
+        if found:
+            best = max(found.values())
+            tied = [d for d, v in found.items() if v == best]
+            out[name] = (best, min(tied), len(tied) == 1)
+    return out
+
+
+def test_mates_are_placed_together(spark):
+    rng = random.Random(31)
+    flank, shared = rand_seq(rng, 40), rand_seq(rng, 60)
+    designs = {d: rand_seq(rng, 50) + (shared if d % 2 else rand_seq(rng, 60)) + rand_seq(rng, 40) + flank for d in range(1, 9)}
+    designs[9] = rand_seq(rng, 50) + rand_seq(rng, 1000) + flank
+    def worn(s, n):
+        s = list(s)
+        for i in rng.sample(range(len(s)), n):
+            s[i] = {"A": "C", "C": "G", "G": "T", "T": "A"}[s[i]]
+        return "".join(s)
+    pairs = [(f"s{d}", worn(designs[d][5:45], 1), flank) for d in range(1, 9)]              # the second mate fits every design
+    pairs += [(f"b{d}", shared[5:50], worn(designs[d][112:148], 2)) for d in (1, 3, 5, 7)]  # the first fits four
+    pairs += [(f"w{d}", designs[d][2:42], worn(designs[d][60:100], 7)) for d in (2, 4, 6)]  # the second has no seed
+    pairs += [("tie", shared[:40], flank), ("far", designs[9][:40], flank), ("apart", designs[2][:40], designs[4][115:150]),
+              ("turned", designs[2][100:140], designs[2][:40]), ("junk", "ACGTACGTAA" * 4, "GGTTGGTTAA" * 4)]
+    rows = [(n, "t", a, b) for n, a, b in pairs] + [("half", "t", designs[2][:40], None), ("none", "t", None, None), ("short", "t", "", "")]
+    df = spark.createDataFrame(rows, "read_id string, tag string, seq string, mate_seq string")
+    lib = spark.createDataFrame([(d, f"d{d}", s) for d, s in designs.items()], "design_idx bigint, name string, sequence string")
+    want = plain_pairs(pairs, designs, 800)
+    assert {"far", "apart", "turned", "junk"}.isdisjoint(want) and not want["tie"][2]
+    got = align_pairs(df, lib).collect()
+    together = {}
+    for r in got:
+        if r.flag & 2:
+            together.setdefault(r.read_id, []).append(r)
+    assert {n: (sum(r.score for r in x), int(x[0].ref[1:]), x[0].mapq == 42) for n, x in together.items()} == want
+    assert all(sorted(r.flag for r in x) == [67, 131] and x[0].ref == x[1].ref and x[0].insert_size <= 800 for x in together.values())
+    alone = {(r.read_id, r.flag): r.ref for r in got if not r.flag & 2}
+    assert alone[("far", 65)] == "d9" and alone[("apart", 65)] == "d2" and alone[("apart", 129)] == "d4" and alone[("half", 65)] == "d2"
+    assert not {n for n, _ in alone} & set(together) and not {n for n, _ in alone} & {"none", "junk"}
+    # nothing but fitting pairs without mixed; the other strand; no rows
+    turned = df.select("read_id", "tag", F.reverse(F.translate("mate_seq", "ACGT", "TGCA")).alias("seq"), F.reverse(F.translate("seq", "ACGT", "TGCA")).alias("mate_seq"))
+    back = align_pairs(turned, lib, mixed=False, strands=("-",)).collect()
+    assert {r.read_id for r in back} == set(want) and {r.flag for r in back} == {83, 147}
+    assert {(r.read_id, r.pos, r.ref, r.score) for r in back} == {(r.read_id, r.pos, r.ref, r.score) for x in together.values() for r in x}
+    assert align_pairs(df.limit(0), lib).count() == 0
+
+
 def test_every_read_within_the_edit_limit_is_found(spark):
     rng = random.Random(2)
     flank5, flank3 = rand_seq(rng, 26), rand_seq(rng, 20)
