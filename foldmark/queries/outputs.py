@@ -212,9 +212,11 @@ def align(spark, sf):
 frags AS (SELECT design_idx, k, substr(dna, CAST(200 * k + 1 AS INT), 200) AS frag FROM (SELECT *, unnest(generate_series(0, (length(dna) - 1) // 200)) AS k FROM dna)),
 mates AS (SELECT design_idx || '_' || k AS read_id, substr(frag, 1, 60) AS a, substr(frag, CAST(greatest(length(frag) - 59, 1) AS INT)) AS b FROM frags WHERE length(frag) >= 60),
 kinds AS (SELECT DISTINCT a, b FROM mates),
-hits AS (SELECT a, b, design_idx, len(list_filter(generate_series(1, length(dna)), lambda i:
-    substr(dna, CAST(i AS INT), length(a)) = a AND strpos(substr(dna, CAST(i AS INT), 800), b) > 0)) AS n FROM kinds JOIN dna ON contains(dna, a) AND contains(dna, b)),
-fits AS (SELECT a, b, min(design_idx) AS first FROM hits WHERE n > 0 GROUP BY a, b)
+hits AS (SELECT a, b, design_idx, dna, strpos(substr(dna, CAST(strpos(dna, a) AS INT), 800), b) AS n FROM kinds JOIN dna ON contains(dna, a) AND contains(dna, b)),
+later AS (SELECT a, b, design_idx, unnest(generate_series(1, length(dna))) AS i, dna FROM hits WHERE n = 0),
+ok AS (SELECT a, b, design_idx FROM hits WHERE n > 0 UNION ALL
+  SELECT a, b, design_idx FROM later WHERE substr(dna, CAST(i AS INT), length(a)) = a AND strpos(substr(dna, CAST(i AS INT), 800), b) > 0),
+fits AS (SELECT a, b, min(design_idx) AS first FROM ok GROUP BY a, b)
 SELECT read_id, CAST(first - 1 AS VARCHAR) AS ref, CAST(0 AS BIGINT) AS score
 FROM mates JOIN fits USING (a, b)""")
 def align_mates(spark, sf):
