@@ -20,10 +20,11 @@ def signal_to_noise(reactivity: DataFrame, lengths: DataFrame | None, blank5: in
     """mean(signal)/mean(noise) per design and condition, 0 where undefined.
 
     Good points lie inside the blanked ends, have values and positive noise.
-    More than three are needed; the first and the last are left out. They are
-    found as the values at the extreme positions, so one aggregation with
-    partial sums does, without ordering any design's rows. ``lengths``
-    (design_idx, seq_len) is not needed when ``reactivity`` has seq_len.
+    More than three are needed; the first and the last are left out before
+    anything is added up, as taking them off a sum leaves rounding errors where
+    nothing should be left. The points of a design and condition, at most one a
+    position, are added in order of position. ``lengths`` (design_idx, seq_len)
+    is not needed when ``reactivity`` has seq_len.
     """
     rows = reactivity if "seq_len" in reactivity.columns else reactivity.join(lengths, "design_idx")
     good = (
@@ -31,12 +32,12 @@ def signal_to_noise(reactivity: DataFrame, lengths: DataFrame | None, blank5: in
         & F.col(signal).isNotNull() & (F.col(noise) > 0)
     )
     point = F.when(good, F.struct("pos", F.col(signal).alias("s"), F.col(noise).alias("e")))
-    agg = rows.withColumn("_p", point).groupBy("design_idx", "cond_idx").agg(
-        F.count("_p").alias("k"),
-        F.sum("_p.s").alias("s"), F.sum("_p.e").alias("e"),
-        F.min("_p").alias("first"), F.max("_p").alias("last"),
-    )
-    top = F.col("s") - F.col("first.s") - F.col("last.s")
-    bottom = F.col("e") - F.col("first.e") - F.col("last.e")
-    value = F.when((F.col("k") > 3) & (bottom > 0), F.try_divide(top, bottom))
+    agg = rows.withColumn("_p", point).groupBy("design_idx", "cond_idx").agg(F.sort_array(F.collect_list("_p")).alias("_all"))
+    k = F.size("_all")
+    inner = F.when(k > 3, F.slice("_all", 2, k - 2))
+
+    def mean(name: str) -> Column:
+        return F.aggregate(inner, F.lit(0.0), lambda total, x: total + x[name]) / (k - 2)
+
+    value = F.try_divide(mean("s"), mean("e"))
     return agg.select("design_idx", "cond_idx", F.coalesce(value, F.lit(0.0)).alias("signal_to_noise"))

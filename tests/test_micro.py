@@ -289,3 +289,12 @@ def test_stride_over_sparse_designs(spark):
     passing = [i * 10**12 + 5 for i in range(90) if i % 3]
     assert [r[0] for r in N.normalization_set(totals, 20).orderBy("design_idx").collect()] == passing[2::3]
     assert N.normalization_set(totals, 60).count() == 60
+
+
+def test_signal_of_nothing_inside_is_zero(spark):
+    """Ends that are much larger than what they enclose leave no rounding error behind."""
+    r = spark.createDataFrame(
+        [(1, p, 1, v, 0.1) for p, v in enumerate((0.7, 0.1, -0.1, 0.0, 0.3), 1)]
+        + [(2, p, 1, v, e) for p, (v, e) in enumerate(((0.7, 0.9), (0.3, 0.3), (0.1, 0.1), (0.2, 0.2), (0.6, 0.7)), 1)],
+        "design_idx int, pos int, cond_idx int, r double, r_err double").withColumn("seq_len", F.lit(5))
+    assert rows(signal_to_noise(r, None, 0, 0), "design_idx") == [(1, 1, 0.0), (2, 1, 1.0)]
