@@ -58,11 +58,22 @@ def condition_stats(reads: DataFrame, reactivity: DataFrame, sn: DataFrame, norm
 
 
 def human_readable(x: Column) -> Column:
-    """Thousands-based short form with one decimal: 1.2k, 3.4M."""
+    """Thousands-based short form with one decimal: 1.2k, 3.4M.
+
+    The double itself is rounded, as C's printf does, with exact halves to even;
+    Spark's own format rounds the shortest decimal text of it, halves up.
+    """
     power = sum((F.when(x >= F.lit(1000.0 ** k), 1).otherwise(0) for k in range(1, 5)), F.lit(0))
-    scaled = x / F.element_at(F.array(*[F.lit(1000.0 ** k) for k in range(5)]), power + 1)
+    scaled = F.abs(x / F.element_at(F.array(*[F.lit(1000.0 ** k) for k in range(5)]), power + 1))
     unit = F.element_at(F.array(*[F.lit(u) for u in UNITS]), power + 1)
-    return F.when(x == 0, "0").otherwise(F.concat(F.format_string("%.1f", scaled), unit))
+    # The fraction of a double from 1 on is a whole number of 2**-52, so ten times it fits a bigint.
+    one = 1 << 52
+    ten = ((scaled - F.floor(scaled)) * F.lit(float(one))).cast("bigint") * 10
+    digit, rest = F.shiftright(ten, 52), ten.bitwiseAND(one - 1)
+    up = (rest > one // 2) | ((rest == one // 2) & (digit % 2 == 1))
+    tenths = F.floor(scaled).cast("bigint") * 10 + digit + up.cast("bigint")
+    text = F.concat(F.when(x < 0, "-").otherwise(""), F.floor(tenths / 10).cast("bigint").cast("string"), F.lit("."), (tenths % 10).cast("string"))
+    return F.when(x == 0, "0").otherwise(F.concat(text, unit))
 
 
 def funnel(stages: DataFrame) -> DataFrame:

@@ -17,6 +17,7 @@ from foldmark.operators import ordinals as O
 from foldmark.operators import reactivity as R
 from foldmark.operators import reads as D
 from foldmark.operators import spread as S
+from foldmark.operators import stats as Q
 from foldmark.operators import subdivide as B
 from foldmark.operators import validate as K
 from foldmark.operators.signal import classify_signal, signal_to_noise
@@ -298,3 +299,12 @@ def test_signal_of_nothing_inside_is_zero(spark):
         + [(2, p, 1, v, e) for p, (v, e) in enumerate(((0.7, 0.9), (0.3, 0.3), (0.1, 0.1), (0.2, 0.2), (0.6, 0.7)), 1)],
         "design_idx int, pos int, cond_idx int, r double, r_err double").withColumn("seq_len", F.lit(5))
     assert rows(signal_to_noise(r, None, 0, 0), "design_idx") == [(1, 1, 0.0), (2, 1, 1.0)]
+
+
+def test_human_readable_rounds_the_double_itself(spark):
+    xs = [0, 1, 999, 1000, 871_250, 871_350, 846_550, 912_250, 1_950, 1_050, 999_949, 999_950, 999_999, 12_345_678, 10**12 + 5 * 10**10]
+    for sign in (1, -1):
+        df = spark.createDataFrame([(sign * x,) for x in xs], "x bigint")
+        got = [t for _, t in rows(df.select("x", Q.human_readable(F.col("x"))))]
+        power = lambda x: sum(x >= 1000 ** k for k in range(1, 5))
+        assert got == ["0" if x == 0 else f"{x / 1000 ** power(x):.1f}{Q.UNITS[power(x)]}" for x in (sign * x for x in xs)]
