@@ -61,6 +61,11 @@ def pair_counts(counts: DataFrame, conditions: list[Condition], sums: dict[str,
     With a ``grid`` of (design_idx, pos, cond_idx) and further columns, the
     result has exactly its rows and those columns. Grid rows go through the
     same aggregation, which is cheaper than joining them to its result.
+
+    Rows are dealt out by design and condition into a stated number of tasks
+    before they are summed: as good as every cell is new to a file's share of
+    them, so sums per file would hold them all in memory. A design's rows are
+    bounded by its length, and what groups by its runs needs no other shuffle.
     """
     used = sorted({x for names in sums.values() for x in names})
     roles = role_table(counts.sparkSession, conditions)
@@ -79,7 +84,8 @@ def pair_counts(counts: DataFrame, conditions: list[Condition], sums: dict[str,
     for name, names in sums.items():
         cols.append(_n(treated & m.isin(names)).alias(f"{name}_s"))
         cols.append(_n(~treated & m.isin(names)).alias(f"{name}_n"))
-    out = rows.groupBy(*KEYS, "cond_idx").agg(*cols)
+    tasks = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    out = rows.repartition(tasks, "design_idx", "cond_idx").groupBy(*KEYS, "cond_idx").agg(*cols)
     if grid is not None:
         out = out.where(F.col(next(iter(extra))).isNotNull()).withColumns(
             {c: F.char(c) for c, t in extra.items() if t == "string"}

@@ -69,8 +69,14 @@ def spread_deletions(profiles: DataFrame, extra: list[str] = ()) -> DataFrame:
 
 
 def condition_grid(library: DataFrame, cond_idx: list[int]) -> DataFrame:
-    """Every library position for every condition; the condition list is a handful of literals."""
-    return library_positions(library).withColumn("cond_idx", F.explode(F.array(*[F.lit(i) for i in cond_idx])))
+    """Every library position for every condition; the condition list is a handful of literals.
+
+    Designs are dealt out while each is one short row: a library file is small
+    beside what becomes of it, and is often read by one task. The number of
+    tasks is stated, as few bytes would be coalesced.
+    """
+    tasks = int(library.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return library_positions(library.repartition(tasks, "design_idx")).withColumn("cond_idx", F.explode(F.array(*[F.lit(i) for i in cond_idx])))
 
 
 def on_library(profiles: DataFrame, library: DataFrame, cond_idx: list[int]) -> DataFrame:

@@ -308,3 +308,11 @@ def test_human_readable_rounds_the_double_itself(spark):
         got = [t for _, t in rows(df.select("x", Q.human_readable(F.col("x"))))]
         power = lambda x: sum(x >= 1000 ** k for k in range(1, 5))
         assert got == ["0" if x == 0 else f"{x / 1000 ** power(x):.1f}{Q.UNITS[power(x)]}" for x in (sign * x for x in xs)]
+
+
+def test_grid_is_dealt_out_before_it_grows(spark):
+    """A library read by one task is expanded by many, none with more than its share."""
+    library = spark.range(1, 401).select(F.col("id").cast("int").alias("design_idx"), F.lit("ACGUACGU").alias("sequence")).coalesce(1)
+    grid = S.condition_grid(library, [1, 2])
+    sizes = [n for _, n in grid.groupBy(F.spark_partition_id().alias("part")).count().collect()]
+    assert sum(sizes) == 400 * 8 * 2 and len(sizes) == 4 and max(sizes) < 400 * 8 * 2 // 2
