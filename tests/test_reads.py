@@ -437,3 +437,13 @@ def test_log_lines_of_each_tool(spark):
     got = {r.stage: r.n_reads for r in df.collect()}
     assert got == {"into_merge": 5000, "merged": 4000, "into_demux": 4000, "demultiplexed": 3000,
                    "into_align": 1500, "aligned": 1350, "into_count": 1300, "counted": 700}
+
+
+def test_tiles_are_cut_by_many_tasks(spark):
+    """Few bytes become most of the work, so the tasks that cut reads aren't coalesced."""
+    from pyspark.sql import functions as F
+    from foldmark.queries.reads import _tiles
+
+    tiles = _tiles(spark, "/root/testdata/sf0.001")
+    assert tiles.columns == ["design_idx", "dna", "k", "start", "seq"]
+    assert tiles.select(F.spark_partition_id().alias("part")).distinct().count() == 4
