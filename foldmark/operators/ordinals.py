@@ -56,7 +56,9 @@ def pick_ranks(df: DataFrame, groups: list[str], value: str, picks: list[tuple[C
     Equal values are counted first; all else works on these counts, whose
     shuffle is done once and reused. A sketch cuts each group's distinct values
     into ranges; one row per range says which one holds a rank, and only those
-    are sorted. The sketch's error moves work between ranges, not results.
+    are sorted. The sketch's error moves work between ranges, not results: a
+    second evaluation of it may cut elsewhere, so a range that holds a rank is
+    found again by its own least and largest value, never by the sketch.
     """
     counts = df.where(F.col(value).isNotNull()).groupBy(*groups, value).agg(F.count(F.lit(1)).alias("_n"))
     hist = counts.withColumn("_nz", F.when(F.col(value) != 0, F.col("_n")).otherwise(F.lit(0)))
@@ -66,10 +68,11 @@ def pick_ranks(df: DataFrame, groups: list[str], value: str, picks: list[tuple[C
     )
     placed = hist.join(bounds, groups).withColumn("_range", F.size(F.filter("_cuts", lambda c: c < F.col(value)))).drop("_cuts")
     per = placed.groupBy(*groups, "_range").agg(
-        F.sum("_n").alias("_rn"), F.sum("_nz").alias("_rz"), F.max("_all").alias("_all"), F.max("_allz").alias("_allz"))
+        F.sum("_n").alias("_rn"), F.sum("_nz").alias("_rz"), F.max("_all").alias("_all"), F.max("_allz").alias("_allz"),
+        F.min(value).alias("_least"), F.max(value).alias("_most"))
     before = Window.partitionBy(*groups).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     per = per.select(
-        *groups, "_range", "_rn", "_rz", F.coalesce(F.sum("_rn").over(before), F.lit(0)).alias("_bn"),
+        *groups, "_range", "_rn", "_rz", "_least", "_most", F.coalesce(F.sum("_rn").over(before), F.lit(0)).alias("_bn"),
         F.coalesce(F.sum("_rz").over(before), F.lit(0)).alias("_bz"),
         *[rank(F.col("_allz" if nonzero else "_all")).alias(f"_k{i}") for i, (rank, nonzero) in enumerate(picks)],
     )
@@ -80,7 +83,7 @@ def pick_ranks(df: DataFrame, groups: list[str], value: str, picks: list[tuple[C
 
     wanted = per.where(reduce(lambda x, y: x | y, [inside(i, z) for i, (_, z) in enumerate(picks)])).drop("_rn", "_rz")
     upto = Window.partitionBy(*groups, "_range").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    ranked = placed.drop("_all", "_allz").join(wanted, [*groups, "_range"]).withColumns({
+    ranked = hist.join(wanted, groups).where(F.col(value).between(F.col("_least"), F.col("_most"))).withColumns({
         "_cn": F.sum("_n").over(upto) + F.col("_bn"), "_cz": F.sum("_nz").over(upto) + F.col("_bz")})
 
     def at(i: int, nonzero: bool) -> Column:

@@ -129,7 +129,7 @@ def subtract_background(counts: DataFrame, conditions: list[Condition],
         pairs = pairs.where(F.col("c_s") > 0)
     kept = [] if grid is None else [c for c in grid.columns if c not in (*KEYS, "cond_idx")]
     control = _has_control(conditions)
-    one_s, one_n = (F.try_divide(F.lit(1.0), F.col(c).cast("double")) for c in ("c_s", "c_n"))
+    one_s, one_n = (F.try_divide(F.lit(1.0), sq(F.col(c).cast("double"))) for c in ("c_s", "c_n"))
     tracks = [
         _subtract(f"t_{t}", control).alias(t)
         for t in TRACKS if options.separate_tracks and t != "del"
@@ -141,7 +141,7 @@ def subtract_background(counts: DataFrame, conditions: list[Condition],
         F.sqrt(_variance("strict", control)).alias("strict_err"),
         _subtract("del", control).alias("del"),
         F.sqrt(_variance("del", control)).alias("del_err"),
-        F.sqrt(F.when(control, sq(one_s) + sq(one_n)).otherwise(sq(one_s))).alias("floor_err"),
+        F.sqrt(F.when(control, one_s + one_n).otherwise(one_s)).alias("floor_err"),
         F.when(F.col("c_s") > 0, F.when(control, nomod).otherwise(F.lit(0.0))).alias("r_nomod"),
         *tracks,
     )

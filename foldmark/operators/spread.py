@@ -41,9 +41,11 @@ def spread_deletions(profiles: DataFrame, extra: list[str] = ()) -> DataFrame:
     strict_err, del, del_err), one per position of each run. The 3' value is
     shared in proportion to the positive part of the strict-mismatch profile,
     or evenly where that is zero throughout; values recorded earlier in a run
-    stay where they are. Sums over a run do not change.
+    stay where they are. Sums over a run do not change. They are taken from its
+    3' end on, so that the same rows give the same last digits every time.
     """
-    run = Window.partitionBy("design_idx", "cond_idx", "run_end")
+    run = Window.partitionBy("design_idx", "cond_idx", "run_end").orderBy(F.desc("pos")).rowsBetween(
+        Window.unboundedPreceding, Window.unboundedFollowing)
     last = F.col("pos") == F.col("run_end")
     rows = profiles.withColumns({
         "_w": F.greatest(F.col("strict"), F.lit(0.0)),
@@ -63,7 +65,8 @@ def spread_deletions(profiles: DataFrame, extra: list[str] = ()) -> DataFrame:
     stay_err = F.when(F.col("_last"), F.lit(0.0)).otherwise(F.col("del_err"))
     changed = {
         "del": stay + F.col("_d") * share,
-        "del_err": F.sqrt(sq(stay_err) + sq(F.col("_e") * share) + sq(F.col("_d") * share_err)),
+        "del_err": F.sqrt(sq(stay_err) + F.col("_e") * share * F.col("_e") * share
+                          + F.col("_d") * share_err * F.col("_d") * share_err),
     }
     return rows.withColumns(changed).drop("_w", "_last", "_sw", "_d", "_e")
 

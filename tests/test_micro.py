@@ -24,6 +24,7 @@ from foldmark.operators.signal import classify_signal, signal_to_noise
 from foldmark.operators.skew import lookup_join
 from foldmark.options import ReactivityOptions, conditions_for
 from foldmark.plans import analysis as A
+from foldmark.queries import views as V
 
 
 def rows(df, *order):
@@ -316,3 +317,28 @@ def test_grid_is_dealt_out_before_it_grows(spark):
     grid = S.condition_grid(library, [1, 2])
     sizes = [n for _, n in grid.groupBy(F.spark_partition_id().alias("part")).count().collect()]
     assert sum(sizes) == 400 * 8 * 2 and len(sizes) == 4 and max(sizes) < 400 * 8 * 2 // 2
+
+
+def test_ranks_do_not_depend_on_where_a_second_sketch_cuts(spark, monkeypatch):
+    import os
+
+    real = F.percentile_approx
+    moved = F.udf(lambda cuts: [c + int.from_bytes(os.urandom(2)) / 3000 for c in cuts], "array<double>").asNondeterministic()
+    monkeypatch.setattr(O.F, "percentile_approx", lambda *a: moved(real(*a)))
+    df = spark.range(4000, numPartitions=7).select((F.col("id") % 2).alias("g"), (F.col("id") * 0.25).alias("v"))
+    values = {g: [i * 0.25 for i in range(g, 4000, 2)] for g in (0, 1)}
+    for _ in range(3):
+        assert sorted(rows(O.nearest_rank(df, ["g"], "v", "x"))) == [(g, nearest_rank(values[g])) for g in (0, 1)]
+
+
+def test_rounding_is_that_of_the_sql(spark):
+    import duckdb
+
+    values = [k + 0.5 for k in range(3)] + [(2 * k + 1) / 2**11 + 7 for k in range(40)]
+    values += [math.nextafter((k + 0.5) / 1e9, s) for k in range(1_900_000_000, 1_900_003_000) for s in (0.0, 9.0)]
+    got = V.rounded(spark.createDataFrame([(i, v, -v) for i, v in enumerate(values)], "i int, v double, m double"), "v", "m").orderBy("i").collect()
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t (v DOUBLE)")
+    con.execute(f"INSERT INTO t VALUES {', '.join(f'({v!r}::DOUBLE)' for v in values)}")
+    want = con.execute("SELECT round(v, 9), round(-v, 9) FROM t ORDER BY rowid").fetchall()
+    assert [(r.v, r.m) for r in got] == want
