@@ -8,7 +8,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from foldmark.operators.align import _glocal, align_pairs, align_reads, seed_candidates, worst_penalty
+from foldmark.operators.align import _glocal, align_pairs, align_reads, scan_library, seed_candidates, worst_penalty
 from foldmark.operators.index import build_index
 from foldmark.operators.pairs import merge_pairs
 from foldmark.operators.pileup import pileup
@@ -295,6 +295,35 @@ def test_every_read_within_the_score_limit_is_found(spark, strands, letters):
     assert found >= 300
 
 
+def test_whole_comparison_shuffles_no_block_again(spark, monkeypatch):
+    """Small blocks, several rounds of designs and a twin: the results are brute force's, and little is shuffled."""
+    import time
+
+    rng = random.Random(31)
+    monkeypatch.setattr("foldmark.operators.align.BROADCAST_LETTERS", 4_000)
+    designs = [(i + 1, f"d{i}", rand_seq(rng, rng.choice([60, 90, 250]))) for i in range(60)]
+    designs += [(61, "twin", designs[3][2]), (62, "empty", ""), (63, "none", None)]
+    reads = []
+    for n in range(240):
+        s = list(designs[3 if n % 10 == 0 else rng.randrange(60)][2][:50])
+        for _ in range(rng.randint(0, 3)):
+            s[rng.randrange(50)] = rng.choice("ACGT")
+        reads.append(("".join(s), 30))
+    reads = [(s, most) for s, most in dict(reads).items()] + [("A" * 50, 3)]
+    lib = spark.createDataFrame(designs, "design_idx bigint, ref string, sequence string")
+    store = spark.sparkContext._jsc.sc().statusStore()
+    before = store.executorSummary("driver").totalShuffleWrite()
+    got = {r.seq: r for r in scan_library(spark.createDataFrame(reads, "seq string, limit int"), lib, 250, 16).collect()}
+    time.sleep(2)
+    assert store.executorSummary("driver").totalShuffleWrite() - before < 300_000
+    real = [d for d in designs if d[2]]
+    for s, _ in reads[:-1]:
+        score, names = best_places(s, real)
+        ids = [d[0] for d in real if d[1] in names]
+        assert (got[s].score, got[s].ref, got[s].d0, got[s].d1) == (score, names[0], ids[0], ids[-1])
+    assert reads[-1][0] not in got
+
+
 def test_shared_ends_are_no_seeds(spark):
     rng = random.Random(5)
     designs = [(i + 1, f"d{i}", "GGGAACGACTCGAGTAGAGTCGAAAA" + rand_seq(rng, 69) + "AAAGAAACAACAACAACAAC") for i in range(2_000)]
