@@ -51,7 +51,7 @@ def role_table(spark: SparkSession, conditions: list[Condition]) -> DataFrame:
 
 
 def pair_counts(counts: DataFrame, conditions: list[Condition], sums: dict[str, list[str]],
-                grid: DataFrame | None = None) -> DataFrame:
+                grid: DataFrame | None = None, tasks: int | None = None) -> DataFrame:
     """Sums of each condition's treated (``_s``) and control (``_n``) counts.
 
     ``sums`` names the measures added up in each output column. Treated and
@@ -63,7 +63,7 @@ def pair_counts(counts: DataFrame, conditions: list[Condition], sums: dict[str,
     same aggregation, which is cheaper than joining them to its result.
 
     Rows are dealt out by design and condition into a stated number of tasks
-    before they are summed: as good as every cell is new to a file's share of
+    (by default, the session's number) before they are summed: as good as every cell is new to a file's share of
     them, so sums per file would hold them all in memory. A design's rows are
     bounded by its length, and what groups by its runs needs no other shuffle.
     """
@@ -84,7 +84,7 @@ def pair_counts(counts: DataFrame, conditions: list[Condition], sums: dict[str,
     for name, names in sums.items():
         cols.append(_n(treated & m.isin(names)).alias(f"{name}_s"))
         cols.append(_n(~treated & m.isin(names)).alias(f"{name}_n"))
-    tasks = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = tasks or int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     out = rows.repartition(tasks, "design_idx", "cond_idx").groupBy(*KEYS, "cond_idx").agg(*cols)
     if grid is not None:
         out = out.where(F.col(next(iter(extra))).isNotNull()).withColumns(
@@ -110,7 +110,8 @@ def _variance(n: str, control: Column) -> Column:
 
 
 def subtract_background(counts: DataFrame, conditions: list[Condition],
-                        options: ReactivityOptions = ReactivityOptions(), grid: DataFrame | None = None) -> DataFrame:
+                        options: ReactivityOptions = ReactivityOptions(), grid: DataFrame | None = None,
+                        tasks: int | None = None) -> DataFrame:
     """Strict-mismatch and deletion profiles per condition, with errors.
 
     Columns: strict, strict_err, del, del_err, floor_err (one count in each
@@ -124,7 +125,7 @@ def subtract_background(counts: DataFrame, conditions: list[Condition],
     sums = {"strict": strict, "del": dels, "c": [COVERAGE]}
     if options.separate_tracks:
         sums |= {f"t_{t}": list(types) for t, types in TRACKS.items() if t != "del"}
-    pairs = pair_counts(counts, conditions, sums, grid)
+    pairs = pair_counts(counts, conditions, sums, grid, tasks)
     if grid is None:
         pairs = pairs.where(F.col("c_s") > 0)
     kept = [] if grid is None else [c for c in grid.columns if c not in (*KEYS, "cond_idx")]
@@ -167,9 +168,9 @@ def restrict_base(profiles: DataFrame, base: str | None, columns: list[str]) ->
 
 
 def legacy_reactivity(counts: DataFrame, conditions: list[Condition],
-                      control_error_scale: float = 0.0) -> DataFrame:
+                      control_error_scale: float = 0.0, tasks: int | None = None) -> DataFrame:
     """Reactivity from total mutation counts only: (m/c) differences, errors sqrt(m+1)/c."""
-    pairs = pair_counts(counts, conditions, {"m": [MUTS], "c": [COVERAGE]}).where(F.col("c_s") > 0)
+    pairs = pair_counts(counts, conditions, {"m": [MUTS], "c": [COVERAGE]}, tasks=tasks).where(F.col("c_s") > 0)
     control = _has_control(conditions)
 
     def err2(side: str) -> Column:

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import tasks_for
 from .reactivity import sq
 
+
 def homopolymer_runs(library: DataFrame) -> DataFrame:
     """One row per maximal same-nucleotide run: design_idx, base, run_start, run_end, run_len.
 
@@ -71,14 +73,21 @@ def spread_deletions(profiles: DataFrame, extra: list[str] = ()) -> DataFrame:
     return rows.withColumns(changed).drop("_w", "_last", "_sw", "_d", "_e")
 
 
-def condition_grid(library: DataFrame, cond_idx: list[int]) -> DataFrame:
+def grid_tasks(library: DataFrame, cond_idx: list[int]) -> int:
+    """Tasks for every library position and condition; one number is read from the library."""
+    letters = library.agg(F.sum(F.length("sequence"))).first()[0] or 0
+    return tasks_for(library.sparkSession, letters * len(cond_idx))
+
+
+def condition_grid(library: DataFrame, cond_idx: list[int], tasks: int | None = None) -> DataFrame:
     """Every library position for every condition; the condition list is a handful of literals.
 
     Designs are dealt out while each is one short row: a library file is small
     beside what becomes of it, and is often read by one task. The number of
-    tasks is stated, as few bytes would be coalesced.
+    tasks is stated, as few bytes would be coalesced; by default it follows
+    from the library's letters.
     """
-    tasks = int(library.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = tasks or grid_tasks(library, cond_idx)
     return library_positions(library.repartition(tasks, "design_idx")).withColumn("cond_idx", F.explode(F.array(*[F.lit(i) for i in cond_idx])))
 
 

@@ -18,19 +18,22 @@ from ..session import written
 
 
 def reactivity(counts: DataFrame, library: DataFrame, conditions: list[Condition],
-               options: ReactivityOptions = ReactivityOptions()) -> DataFrame:
+               options: ReactivityOptions = ReactivityOptions(), tasks: int | None = None) -> DataFrame:
     """Background-subtracted reactivity at every library position and condition.
 
     ``library`` has design_idx and sequence. Designs are independent,
     so restricting ``counts`` and ``library`` to some designs gives exactly
     their part of the result. With ``totals_only`` the counter's own totals
-    (measure ``muts``) are all that is used.
+    (measure ``muts``) are all that is used. Without ``tasks`` the library's
+    letters are added up first, to deal its positions out into enough of them.
     """
-    places = S.condition_grid(with_length(library), [c.cond_idx for c in conditions])
+    cond_idx = [c.cond_idx for c in conditions]
+    tasks = tasks or S.grid_tasks(library, cond_idx)
+    places = S.condition_grid(with_length(library), cond_idx, tasks)
     if options.totals_only:
-        totals = R.legacy_reactivity(counts, conditions)
+        totals = R.legacy_reactivity(counts, conditions, tasks=tasks)
         return places.drop("run_end", "run_len").join(totals, ["design_idx", "pos", "cond_idx"], "left")
-    grid = R.subtract_background(counts, conditions, options, places)
+    grid = R.subtract_background(counts, conditions, options, places, tasks)
     tracks = [t for t in ("to_A", "to_C", "to_G", "to_T", "ins") if options.separate_tracks]
     grid = R.restrict_base(grid, options.only_base, ["strict", "strict_err", "del", "del_err", "r_nomod", *tracks])
     if options.spread_deletions:
@@ -42,8 +45,9 @@ def reactivity(counts: DataFrame, library: DataFrame, conditions: list[Condition
 def _sampled_reactivity(counts, library, conditions, options, chosen) -> DataFrame:
     """Reactivity of a bounded normalization set only, whose counts alone are read."""
     few = F.broadcast(chosen.select("design_idx"))  # fewer than 2 * max_sequences rows by construction
+    tasks = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return reactivity(counts.join(few, "design_idx", "left_semi"), library.join(few, "design_idx", "left_semi"),
-                      conditions, options)
+                      conditions, options, tasks)
 
 
 def normalize_by_nucleotide(counts: DataFrame, library: DataFrame, conditions: list[Condition],

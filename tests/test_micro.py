@@ -9,6 +9,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from foldmark import session
 from foldmark.functions import text as X
 from foldmark.operators import joins as J
 from foldmark.operators import merge as M
@@ -342,3 +343,16 @@ def test_rounding_is_that_of_the_sql(spark):
     con.execute(f"INSERT INTO t VALUES {', '.join(f'({v!r}::DOUBLE)' for v in values)}")
     want = con.execute("SELECT round(v, 9), round(-v, 9) FROM t ORDER BY rowid").fetchall()
     assert [(r.v, r.m) for r in got] == want
+
+
+def test_tasks_follow_the_rows_not_the_session_alone(spark, monkeypatch):
+    """What one task holds stays the same when the input grows and the session's partitions don't (here 4)."""
+    monkeypatch.setattr(session, "ROWS_PER_TASK", 500)
+    library = spark.range(1, 401).select(F.col("id").cast("int").alias("design_idx"), F.lit("ACGUACGU").alias("sequence"))
+    counts = library.select("design_idx", F.lit(3).alias("pos"), F.lit("T").alias("tag"), F.lit("coverage").alias("measure"),
+                            F.lit(9).cast("bigint").alias("n"))
+    items = V.table(spark, "/root/testdata/sf0.001", "lineitem").count()
+    for df, most in ((S.condition_grid(library, [1, 2]), 6400), (V.counts(spark, "/root/testdata/sf0.001"), 2 * items),
+                     (A.reactivity(counts, library, conditions_for([("T",)] * 2)), 6400)):
+        sizes = [n for _, n in df.groupBy(F.spark_partition_id().alias("part")).count().collect()]
+        assert len(sizes) == -(-most // 500) and max(sizes) < 2 * 500
