@@ -38,15 +38,18 @@ def read_metadata(spark: SparkSession, path: str) -> dict:
     return json.loads(spark.read.text(f"{path}/metadata").first()[0])
 
 
-def read_table(spark: SparkSession, path: str, name: str, design_range: tuple[int, int] | None = None) -> DataFrame:
-    """One table; a design range applies to per-design tables only."""
+def read_table(spark: SparkSession, path: str, name: str, design_range: tuple[int, int | None] | None = None) -> DataFrame:
+    """One table; a design range applies to per-design tables only, and has no end where its last is None."""
     df = spark.read.parquet(f"{path}/{name}")
     if design_range is not None and name in BY_DESIGN:
-        df = df.where(F.col("design_idx").between(*design_range))
+        first, last = design_range
+        df = df.where(F.col("design_idx") >= first)
+        if last is not None:
+            df = df.where(F.col("design_idx") <= last)
     return df
 
 
-def read_bundle(spark: SparkSession, path: str, design_range: tuple[int, int] | None = None) -> Analysis:
+def read_bundle(spark: SparkSession, path: str, design_range: tuple[int, int | None] | None = None) -> Analysis:
     meta = read_metadata(spark, path)
     tables = {n: read_table(spark, path, n, design_range) for n in meta["tables"]}
     for n in TABLES:
