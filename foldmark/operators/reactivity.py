@@ -63,9 +63,11 @@ def pair_counts(counts: DataFrame, conditions: list[Condition], sums: dict[str,
     same aggregation, which is cheaper than joining them to its result.
 
     Rows are dealt out by design and condition into a stated number of tasks
-    (by default, the session's number) before they are summed: as good as every cell is new to a file's share of
+    before they are summed: as good as every cell is new to a file's share of
     them, so sums per file would hold them all in memory. A design's rows are
     bounded by its length, and what groups by its runs needs no other shuffle.
+    By default it is the session's number, which does not follow the rows; who
+    knows how many counts there are names it.
     """
     used = sorted({x for names in sums.values() for x in names})
     roles = role_table(counts.sparkSession, conditions)

@@ -18,7 +18,8 @@ from .registry import query
 
 
 def _sub(spark, sf, **options):
-    return R.subtract_background(V.counts(spark, sf), V.CONDITIONS, ReactivityOptions(**options))
+    return R.subtract_background(V.counts(spark, sf), V.CONDITIONS, ReactivityOptions(**options),
+                                 tasks=V.count_tasks(spark, sf))
 
 
 def _react(spark, sf):
@@ -129,7 +130,8 @@ SELECT s.d AS design_idx, s.p AS pos, cond.cond_idx, CAST(s.st + s.de AS BIGINT)
 FROM cond JOIN tags s ON s.t = cond.s LEFT JOIN tags n ON n.t = cond.n AND n.d = s.d AND n.p = s.p""")
 def treated_control(spark, sf):
     o = ReactivityOptions()
-    pairs = R.pair_counts(V.counts(spark, sf), V.CONDITIONS, {"n": [*o.mismatches, "del"], "c": ["coverage"]})
+    pairs = R.pair_counts(V.counts(spark, sf), V.CONDITIONS, {"n": [*o.mismatches, "del"], "c": ["coverage"]},
+                          tasks=V.count_tasks(spark, sf))
     return pairs.where(F.col("c_s") > 0).select(
         "design_idx", "pos", "cond_idx", F.col("n_s").alias("n_treated"), F.col("c_s").alias("c_treated"),
         F.col("n_n").alias("n_control"), F.col("c_n").alias("c_control"),
@@ -146,7 +148,8 @@ SELECT s.d AS design_idx, s.p AS pos, cond_idx,
   round(CASE WHEN cond.n IS NULL THEN 0 ELSE n.m / n.c END, 9) AS r_nomod
 FROM cond JOIN m s ON s.t = cond.s LEFT JOIN m n ON n.t = cond.n AND n.d = s.d AND n.p = s.p""")
 def legacy(spark, sf):
-    out = R.legacy_reactivity(R.with_muts(V.counts(spark, sf)), V.CONDITIONS, control_error_scale=0.5)
+    out = R.legacy_reactivity(R.with_muts(V.counts(spark, sf)), V.CONDITIONS, control_error_scale=0.5,
+                              tasks=V.count_tasks(spark, sf))
     return V.rounded(out, "r", "r_err", "r_nomod")
 
 

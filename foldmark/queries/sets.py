@@ -335,7 +335,7 @@ def merge_legacy(spark, sf):
 SELECT d AS design_idx, p AS pos, round(sum(r / (re * re)) / sum(1 / (re * re)), 9) + 0.0 AS r,
   round(sqrt(1 / sum(1 / (re * re))), 9) AS r_err FROM react GROUP BY d, p""")
 def weighted_mean(spark, sf):
-    r = R.combine_profiles(R.subtract_background(V.counts(spark, sf), V.CONDITIONS))
+    r = R.combine_profiles(R.subtract_background(V.counts(spark, sf), V.CONDITIONS, tasks=V.count_tasks(spark, sf)))
     return V.rounded(G.weighted_mean(r, ["design_idx", "pos"]), "r", "r_err")
 
 

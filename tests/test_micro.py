@@ -25,6 +25,7 @@ from foldmark.operators.signal import classify_signal, signal_to_noise
 from foldmark.operators.skew import lookup_join
 from foldmark.options import ReactivityOptions, conditions_for
 from foldmark.plans import analysis as A
+from foldmark.queries import all_queries
 from foldmark.queries import views as V
 
 
@@ -356,3 +357,13 @@ def test_tasks_follow_the_rows_not_the_session_alone(spark, monkeypatch):
                      (A.reactivity(counts, library, conditions_for([("T",)] * 2)), 6400)):
         sizes = [n for _, n in df.groupBy(F.spark_partition_id().alias("part")).count().collect()]
         assert len(sizes) == -(-most // 500) and max(sizes) < 2 * 500
+
+
+def test_paired_counts_follow_the_line_items(spark, monkeypatch):
+    """Without a grid too, the tasks that pair treated and control counts grow with the items, not the session's 4."""
+    sf = "/root/testdata/sf0.001"
+    tasks = -(-2 * V.table(spark, sf, "lineitem").count() // 500)
+    monkeypatch.setattr(session, "ROWS_PER_TASK", 500)
+    for name in ("p05_background_subtraction", "j01_join_treated_control", "p06_legacy_reactivity", "a10_signal_to_noise"):
+        sizes = all_queries()[name](spark, sf).groupBy(F.spark_partition_id().alias("part")).count().collect()
+        assert 4 < len(sizes) <= tasks and max(n for _, n in sizes) < 2 * 500, name
