@@ -16,29 +16,28 @@ def stream_counts(spark: SparkSession, folder: str, files_per_batch: int = 64) -
 
 
 def merged_stream(counts: DataFrame) -> DataFrame:
-    """Running element-wise sum; equals the batch merge of the files seen so far."""
+    """Element-wise sum of the counts given: of a batch, of several batches' sums, or running, of a stream."""
     return counts.groupBy(*CELL).agg(F.sum("n").alias("n"))
 
 
 def run_merge(spark: SparkSession, folder: str, out: str, checkpoint: str) -> StreamingQuery:
     """Sum every file now in ``folder`` and stop; a later run adds what has arrived since.
 
-    State lives in the checkpoint, so a lost executor or a restart does not
-    count a file twice. Each batch replaces the changed cells' new totals in a
-    folder of its own; the last total of a cell is the largest, as counts only
-    grow.
+    The checkpoint knows the files of each batch, so a lost executor or a
+    restart does not count a file twice: a batch that runs again replaces the
+    folder of its own that holds its sums. No cell is kept between batches, so
+    memory and work of a batch follow its files, not all that came before.
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/batch={number}")
+        merged_stream(batch).write.mode("overwrite").parquet(f"{out}/batch={number}")
 
     return (
-        merged_stream(stream_counts(spark, folder)).writeStream.outputMode("update")
+        stream_counts(spark, folder).writeStream
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(write).start()
     )
 
 
 def latest_totals(spark: SparkSession, out: str) -> DataFrame:
-    """Final counts of ``run_merge``: the newest batch's total of each cell."""
-    rows = spark.read.parquet(out)
-    return rows.groupBy(*CELL).agg(F.max_by("n", "batch").alias("n"))
+    """Final counts of ``run_merge``: the sum over all batches."""
+    return merged_stream(spark.read.parquet(out))

@@ -27,6 +27,8 @@ from foldmark.options import ReactivityOptions, conditions_for
 from foldmark.plans import analysis as A
 from foldmark.queries import all_queries
 from foldmark.queries import views as V
+from foldmark.schemas import COUNTS
+from foldmark.streaming import merge as T
 
 
 def rows(df, *order):
@@ -237,6 +239,18 @@ def test_split_and_merge_is_invariant(spark):
     assert sorted(rows(M.merge_counts(*parts))) == whole
 
 
+def test_stream_merge_keeps_no_cells_between_batches(spark, tmp_path):
+    rng = random.Random(2)
+    data = [(rng.randint(1, 5), rng.randint(1, 4), rng.choice("AB"), "GA", rng.choice([1, 2, 3, None])) for _ in range(400)]
+    landing, out, checkpoint = (f"{tmp_path}/{x}" for x in ("landing", "out", "checkpoint"))
+    for i in range(3):
+        spark.createDataFrame(counts_df(spark, data[i::3]).rdd, COUNTS).write.mode("append").parquet(landing)
+        T.run_merge(spark, landing, out, checkpoint).awaitTermination()
+    T.run_merge(spark, landing, out, checkpoint).awaitTermination()  # nothing new, nothing counted twice
+    assert sorted(rows(T.latest_totals(spark, out))) == sorted(rows(M.merge_counts(counts_df(spark, data))))
+    assert not (tmp_path / "checkpoint" / "state").exists()
+
+
 def test_tag_must_match_once(spark):
     tags = spark.createDataFrame([("a",), ("b",), ("b",)], "tag string")
     ok = J.require_tags(tags, conditions_for([("a",)]))
