@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..fixed_values import MUT_TYPES
-from .lines import blocks, numbered_lines
+from .lines import blank_ended_blocks, blocks, numbered_lines
 
 
 def _numbers(csv: str) -> Column:
@@ -15,7 +15,7 @@ def _numbers(csv: str) -> Column:
 
 def read_count_blocks(spark: SparkSession, paths) -> DataFrame:
     """(design_idx, name, sequence, m, c) of five-line records: name, sequence, mutations, coverage, blank."""
-    rec = blocks(numbered_lines(spark, paths), 5, ["name", "sequence", "m", "c"])
+    rec = blank_ended_blocks(spark, paths, ["name", "sequence", "m", "c"])
     return rec.select(F.col("record").alias("design_idx"), "name", "sequence", _numbers("m").alias("m"), _numbers("c").alias("c"))
 
 

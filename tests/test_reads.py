@@ -434,6 +434,22 @@ def test_counts_folder_by_file_name(spark, tmp_path):
     assert C.read_counts_dir(spark, str(tmp_path), raw_counts=False, first=2, last=2).count() == 4
 
 
+@pytest.mark.parametrize("odd", [None, "blank", "return", "cut", "open"])
+def test_count_blocks_are_read_whole(spark, tmp_path, odd):
+    """No line is shuffled where blank lines only end blocks; other files give what line after line says."""
+    text = [f"d{i}/A/GA\n{'' if odd == 'blank' and i % 3 == 0 else 'ACGU'}\n0,{i},2\n{i},5,6\n\n" for i in range(40)]
+    whole = "".join(text[:-1]) + (text[-1].rstrip("\n") if odd == "open" else text[-1])
+    at = len("".join(text[:20])) + (9 if odd == "cut" else 0)
+    folder = tmp_path / "blocks"
+    folder.mkdir()
+    for i, part in enumerate((whole[:at], whole[at:])):
+        (folder / f"part-{i}").write_bytes((part.replace("\n", "\r\n") if odd == "return" else part).encode())
+    got = tables.read_count_blocks(spark, str(folder))
+    want = [(i + 1, f"d{i}/A/GA", text[i].split("\n")[1], [0, i, 2], [i, 5, 6]) for i in range(40)]
+    assert sorted(tuple(r) for r in got.collect()) == want
+    assert (("Aggregate" in got._jdf.queryExecution().optimizedPlan().toString().split("Join")[0]) == (odd is not None))
+
+
 def test_raw_blocks_assert_their_order(spark, tmp_path):
     from foldmark.fixed_values import MUT_TYPES
     lines = ["d1"] + [f"{t} 0,1" for t in MUT_TYPES] + [""]
